@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans.tables import table
-from . import packing, sampling, splits
+from . import overlap, packing, sampling, splits
 
 
 # ---- 1: splits that keep related records together -----------------------------------
@@ -46,6 +46,21 @@ def p1_two_deliveries(spark, d):
     return out.groupBy("split", "status").agg(F.count_distinct("component").alias("components"), F.count("*").alias("n_rows"))
 
 
+# ---- 2: the same text across splits -------------------------------------------------
+def p2_found(spark, d):
+    return overlap.near_pairs(table(spark, d, "records"))
+
+
+def p2_report(spark, d):
+    """Pairs and evaluation rows by split, exam family and field."""
+    records = table(spark, d, "records")
+    ev = records.where(F.col("metadata.split").isin(*overlap.EVAL)).select(F.col("record_key").alias("k"), F.col("metadata.split").alias("split"), F.col("metadata.exam_family").alias("exam_family"))
+    pairs = overlap.near_pairs(records)
+    ends = pairs.select("field", F.explode(F.array("record_key_a", "record_key_b")).alias("k"))
+    # one end of each pair is an evaluation row
+    return ends.join(ev, "k").groupBy("split", "exam_family", "field").agg(F.count("*").alias("n_pairs"), F.count_distinct("k").alias("n_records"))
+
+
 # ---- 3: samples with target shares --------------------------------------------------
 def _plans(spark, d):
     plans = sampling.Plans(table(spark, d, "sample_targets"))
@@ -84,7 +99,7 @@ def p6_fill(spark, d):
     return packing.fill_report(_packed(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_assignment, p1_shares, p1_two_deliveries, p3_found, p3_report, p3_sample, p6_found, p6_pieces, p6_fill)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_assignment, p1_shares, p1_two_deliveries, p2_found, p2_report, p3_found, p3_report, p3_sample, p6_found, p6_pieces, p6_fill)}
 
 _NORM3 = "replace(regexp_replace(lower(regexp_replace({0}, '^\\s+|\\s+$', '', 'g')), '\\s', '_', 'g'), '-', '_')"
 _P3 = f"""
