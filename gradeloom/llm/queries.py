@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans.tables import table
-from . import overlap, packing, sampling, splits
+from . import leakage, overlap, packing, sampling, splits
 
 
 # ---- 1: splits that keep related records together -----------------------------------
@@ -99,7 +99,19 @@ def p6_fill(spark, d):
     return packing.fill_report(_packed(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_assignment, p1_shares, p1_two_deliveries, p2_found, p2_report, p3_found, p3_report, p3_sample, p6_found, p6_pieces, p6_fill)}
+# ---- 7: evaluation texts in the corpus ----------------------------------------------
+def p7_found(spark, d):
+    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p7_items(spark, d):
+    """Each item with the number of documents that leak it."""
+    items = table(spark, d, "eval_items").select("item_id", "split", "kind")
+    n = p7_found(spark, d).groupBy("item_id").agg(F.count("*").alias("n_docs"))
+    return items.join(n, "item_id", "left").na.fill({"n_docs": 0})
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_assignment, p1_shares, p1_two_deliveries, p2_found, p2_report, p3_found, p3_report, p3_sample, p6_found, p6_pieces, p6_fill, p7_found, p7_items)}
 
 _NORM3 = "replace(regexp_replace(lower(regexp_replace({0}, '^\\s+|\\s+$', '', 'g')), '\\s', '_', 'g'), '-', '_')"
 _P3 = f"""
