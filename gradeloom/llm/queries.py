@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans.tables import table
-from . import leakage, overlap, packing, sampling, splits
+from . import leakage, overlap, packing, sampling, sentences, splits
 
 
 # ---- 1: splits that keep related records together -----------------------------------
@@ -111,7 +111,20 @@ def p7_items(spark, d):
     return items.join(n, "item_id", "left").na.fill({"n_docs": 0})
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_assignment, p1_shares, p1_two_deliveries, p2_found, p2_report, p3_found, p3_report, p3_sample, p6_found, p6_pieces, p6_fill, p7_found, p7_items)}
+# ---- 8: sentences -------------------------------------------------------------------
+def p8_found(spark, d):
+    return sentences.sentence_units(table(spark, d, "documents")).select("doc_id", "start_char", "end_char")
+
+
+def p8_lengths(spark, d):
+    """Units, documents and mean length of a unit by language as delivered."""
+    units = sentences.sentence_units(table(spark, d, "documents"))
+    docs = table(spark, d, "documents").select("doc_id", F.lower(F.trim("lang")).alias("lang"))
+    size = (F.col("end_char") - F.col("start_char")).cast("bigint")
+    return units.join(docs, "doc_id").groupBy("lang").agg(F.count("*").alias("n_units"), F.count_distinct("doc_id").alias("n_docs"), F.sum(size).alias("n_chars"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_assignment, p1_shares, p1_two_deliveries, p2_found, p2_report, p3_found, p3_report, p3_sample, p6_found, p6_pieces, p6_fill, p7_found, p7_items, p8_found, p8_lengths)}
 
 _NORM3 = "replace(regexp_replace(lower(regexp_replace({0}, '^\\s+|\\s+$', '', 'g')), '\\s', '_', 'g'), '-', '_')"
 _P3 = f"""
