@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans.tables import table
-from . import leakage, overlap, packing, sampling, sentences, splits
+from . import leakage, overlap, packing, pii, sampling, sentences, splits
 
 
 # ---- 1: splits that keep related records together -----------------------------------
@@ -82,6 +82,15 @@ def p3_sample(spark, d):
     return sampling.draw(res, plans)
 
 
+# ---- 5: personal information --------------------------------------------------------
+def p5_found(spark, d):
+    return pii.find_pii(table(spark, d, "records"), table(spark, d, "works")).select("record_key", "field", "pii_type", "start_char")
+
+
+def p5_redacted(spark, d):
+    return pii.redact_texts(table(spark, d, "records"), table(spark, d, "works"))
+
+
 # ---- 6: packing ---------------------------------------------------------------------
 def _packed(spark, d):
     return packing.pack(table(spark, d, "documents"), table(spark, d, "pack_plans"))
@@ -124,7 +133,7 @@ def p8_lengths(spark, d):
     return units.join(docs, "doc_id").groupBy("lang").agg(F.count("*").alias("n_units"), F.count_distinct("doc_id").alias("n_docs"), F.sum(size).alias("n_chars"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_assignment, p1_shares, p1_two_deliveries, p2_found, p2_report, p3_found, p3_report, p3_sample, p6_found, p6_pieces, p6_fill, p7_found, p7_items, p8_found, p8_lengths)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_assignment, p1_shares, p1_two_deliveries, p2_found, p2_report, p3_found, p3_report, p3_sample, p5_found, p5_redacted, p6_found, p6_pieces, p6_fill, p7_found, p7_items, p8_found, p8_lengths)}
 
 _NORM3 = "replace(regexp_replace(lower(regexp_replace({0}, '^\\s+|\\s+$', '', 'g')), '\\s', '_', 'g'), '-', '_')"
 _P3 = f"""
