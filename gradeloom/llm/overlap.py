@@ -152,8 +152,8 @@ def near_pairs(records: DataFrame, key: str = "record_key", split: str = "metada
     tr = blocks.where("n_train > 0").select(F.col("cid").alias("y"), F.col("n").alias("ny"), "b", "v")
     fits = F.abs(F.col("nx") - F.col("ny")) * 4 <= F.greatest("nx", "ny")
     cand = ev.join(tr, ["b", "v"]).where((F.col("x") != F.col("y")) & fits).select("x", "y").distinct()
-    a = c.select(F.col("cid").alias("x"), "field", F.col("cls").alias("ca"), F.col("n").alias("na"), F.col("fp").alias("fa"), F.col("code").alias("da"), F.col("words").alias("wa"))
-    z = c.select(F.col("cid").alias("y"), F.col("cls").alias("cb"), F.col("n").alias("nb"), F.col("fp").alias("fb"), F.col("code").alias("db"), F.col("words").alias("wb"), "n_train")
+    a = c.where("n_eval > 0").select(F.col("cid").alias("x"), F.col("n").alias("na"), F.col("fp").alias("fa"), F.col("code").alias("da"))
+    z = c.where("n_train > 0").select(F.col("cid").alias("y"), F.col("n").alias("nb"), F.col("fp").alias("fb"), F.col("code").alias("db"))
     both = cand.join(a, "x").join(z, "y")
     longer = F.greatest("na", "nb")
     k = F.floor(longer / 4).cast("int")
@@ -163,10 +163,14 @@ def near_pairs(records: DataFrame, key: str = "record_key", split: str = "metada
     # bit_count widens to 64 bits, so the sign bits are masked away
     bits = F.aggregate(F.zip_with("fa", "fb", lambda p, q: F.bit_count(p.bitwiseXOR(q).cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)))), F.lit(0), lambda t, v: t + v)
     near = both.where(bits <= radius).withColumn("k", k)
-    near = near.where(F.expr("levenshtein(da, db) <= k")).select("field", "ca", "cb", "n_train", "wa", "wb")
+    # few are left: a small table by itself, so that the words are joined to its size
+    near = materialize(near.where(F.expr("levenshtein(da, db) <= k")).select("x", "y"), "overlap-near")
+    wa = c.select(F.col("cid").alias("x"), "field", F.col("cls").alias("ca"), F.col("words").alias("wa"))
+    wb = c.select(F.col("cid").alias("y"), F.col("cls").alias("cb"), F.col("words").alias("wb"), "n_train")
+    near = near.join(wa, "x").join(wb, "y").select("field", "ca", "cb", "n_train", "wa", "wb")
     pairs = near.mapInArrow(_exact, "field tinyint, ca binary, cb binary, n_train bigint")
     same = c.where("n_train > 0 and n_eval > 0").select("field", F.col("cls").alias("ca"), F.col("cls").alias("cb"), "n_train")
-    pairs = pairs.unionByName(same)
+    pairs = materialize(pairs.unionByName(same), "overlap-pairs")  # read twice below
     # expansion to rows: the members of a text with many train rows are spread over salts
     salts = F.ceil(F.col("n_train") / MEMBERS_PER_SALT).cast("int")
     left = pairs.join(s.where("eval").select("field", F.col("cls").alias("ca"), F.col("record_key").alias("e")), ["field", "ca"])
