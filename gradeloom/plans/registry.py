@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import nested
+from . import nested, rules
 
 FLAGSHIP = "p4_found"
-_MODULES = (nested,)
+_MODULES = (nested, rules)
 
 
 def queries() -> dict:
