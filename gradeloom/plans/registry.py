@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import nested, rules
+from . import evaluation, nested, rules
 
-FLAGSHIP = "p4_found"
-_MODULES = (nested, rules)
+FLAGSHIP = "eval_slices"
+_MODULES = (evaluation, nested, rules)
 
 
 def queries() -> dict:
