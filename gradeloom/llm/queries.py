@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..plans.tables import table
 from . import leakage, overlap, packing, pii, sampling, sentences, splits
@@ -26,8 +27,9 @@ def p1_shares(spark, d):
     """Rows and share of each split against its target."""
     got = p1_assignment(spark, d).groupBy("split").agg(F.count("*").alias("n"))
     t = table(spark, d, "split_targets")
-    whole = got.agg(F.sum("n").alias("total"))
-    return t.join(got, "split", "left").crossJoin(F.broadcast(whole)).select("split", "target_share", F.coalesce("n", F.lit(0)).alias("n_rows"), (F.coalesce("n", F.lit(0)) / F.col("total")).alias("share"))
+    n = F.coalesce("n", F.lit(0))
+    whole = F.sum(n).over(Window.partitionBy())  # a few rows, one for each split
+    return t.join(got, "split", "left").select("split", "target_share", n.alias("n_rows"), (n / whole).alias("share"))
 
 
 def p1_two_deliveries(spark, d):

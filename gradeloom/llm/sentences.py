@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import materialize, release
+
 MAX_TYPES = 100_000
 LEAST_COUNT = 5
 
@@ -468,17 +470,18 @@ def corpus_judgements(docs: DataFrame, text: str = "text") -> dict[str, str]:
 
     src = docs.select(F.col(text).alias("t")).where(F.length("t") > 0)
     parts = src.mapInArrow(count, "w string, mid bigint, up bigint, bare bigint, title bigint")
-    total = parts.groupBy("w").agg(*[F.sum(x).alias(x) for x in ("mid", "up", "bare", "title")])
+    total = materialize(parts.groupBy("w").agg(*[F.sum(x).alias(x) for x in ("mid", "up", "bare", "title")]), "stops")
     seen = F.col("mid") + F.col("up")
     # at most MAX_TYPES tokens can hold 1/MAX_TYPES of all stops each
-    stops = total.agg(F.sum(seen).alias("all"))
-    kept = total.crossJoin(F.broadcast(stops)).where((seen >= LEAST_COUNT) & (seen * MAX_TYPES >= F.col("all")))
+    stops = total.agg(F.sum(seen)).first()[0] or 0
+    kept = total.where((seen >= LEAST_COUNT) & (seen * MAX_TYPES >= F.lit(stops)))
     kept = kept.where((F.col("mid") >= 0.3 * seen) & (F.col("bare") <= 0.25 * seen) | (F.col("title") >= 0.9 * seen) & (F.col("bare") <= 0.02 * seen))
     out = {}
     for r in kept.select("w", "mid", "up", "bare", "title").collect():
         j = judge(r["mid"], r["up"], r["bare"], r["title"], LEAST_COUNT)
         if j:
             out[r["w"]] = j
+    release(total)
     return out
 
 
