@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import evaluation, nested, rules
+from . import corpus, evaluation, nested, rules
 
 FLAGSHIP = "eval_slices"
-_MODULES = (evaluation, nested, rules)
+_MODULES = (corpus, evaluation, nested, rules)
 
 
 def queries() -> dict:
