@@ -32,6 +32,7 @@ def join_unique(rows: DataFrame, table: DataFrame, key: str, hot: list, spread:
     if not hot:
         return rows.join(table, key, how)
     left = rows.withColumn("__salt", _salt(F.col(key), hot, spread))
-    copies = F.when(F.col(key).isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    right = table.withColumn("__salt", F.explode(copies).cast("bigint"))
+    zero = F.lit(0).cast("bigint")
+    copies = F.when(F.col(key).isin(hot), F.sequence(zero, F.lit(SALTS - 1).cast("bigint"))).otherwise(F.array(zero))
+    right = table.withColumn("__salt", F.explode(copies))
     return left.join(right, [key, "__salt"], how).drop("__salt")

@@ -41,14 +41,16 @@ def read_json_document(spark: SparkSession, path: str, ddl: str) -> DataFrame:
 
 
 def flatten_strings(df: DataFrame, key: str, payload: str) -> DataFrame:
-    """``(key, text)``: every string anywhere in a JSON text, found by the JVM's own parser via pattern-free VARIANT paths.
+    """``(key, text)``: every string value anywhere in a JSON text; unreadable ones give none.
 
-    Works on payloads without a known schema: strings are taken from the compact form of the
-    document, so escapes are already undone.
+    No schema is needed: the compact form of the document is cut into quoted strings, those
+    before a colon are keys, and escapes are undone.
     """
     compact = F.to_json(F.try_parse_json(F.col(payload)))
-    quoted = F.regexp_extract_all(compact, F.lit(r'"((?:[^"\\]|\\.)*)"(?!\s*:)'), F.lit(1))
-    decoded = F.transform(quoted, lambda s: F.get_json_object(F.concat(F.lit('{"s":"'), s, F.lit('"}')), "$.s"))
+    pattern = F.lit(r'"((?:[^"\\]|\\.)*)"(:?)')
+    both = F.arrays_zip(F.regexp_extract_all(compact, pattern, F.lit(1)).alias("s"), F.regexp_extract_all(compact, pattern, F.lit(2)).alias("c"))
+    values = F.filter(both, lambda x: x["c"] == "")
+    decoded = F.transform(values, lambda x: F.get_json_object(F.concat(F.lit('{"s":"'), x["s"], F.lit('"}')), "$.s"))
     return df.select(key, F.explode(decoded).alias("text"))
 
 
