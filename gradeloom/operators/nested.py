@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import spread
+
 ELEMENT_SCHEMA = "doc bigint, child string, parent_pos int, pos int, element_id string, parent_id string, body string"
 
 _Q, _BS, _LB, _RB, _LC, _RC, _COMMA, _COLON = (ord(c) for c in '"\\[]{},:')
@@ -403,7 +405,7 @@ def flatten_payloads(df: DataFrame, key: str, payload: str, bodies: bool = True)
                     yield pa.RecordBatch.from_pydict(got, schema)
 
     src = df.select(F.col(key).cast("bigint").alias("doc"), F.col(payload).cast("binary").alias("p")).where(F.col("p").isNotNull())
-    return src.mapInArrow(run, ELEMENT_SCHEMA).withColumnRenamed("doc", key)
+    return spread(src).mapInArrow(run, ELEMENT_SCHEMA).withColumnRenamed("doc", key)
 
 
 def flatten_typed(records: DataFrame, key: str) -> DataFrame:

@@ -72,3 +72,14 @@ def _clean() -> None:
             _delete(spark, path)
     for d in _LOCAL_DIR:
         shutil.rmtree(d, ignore_errors=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition for each core ahead of a step whose cost is all CPU.
+
+    Only a scan with fewer partitions than the cluster has cores, so a small table, is
+    redistributed; a large one already has more and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    have = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df if have >= cores else df.repartition(cores)
