@@ -7,7 +7,7 @@ an item of under 20 words whole and unaltered.
 * Item-sized windows of both sides are embedded by the CGK random walk: 40 steps that
   emit the current word and move on when a random bit of (step, word) says so, which
   turns edits into few changed places.  Every other repeat walks backwards.
-* Repeated bit-sampling: each of 8 repeats keys a window by 4 sampled places of its
+* Repeated bit-sampling: each of 10 repeats keys a window by 4 sampled places of its
   walk.  A window with two words replaced is found with probability 0.99, with one or
   none replaced with more than 0.999; a passage has many windows.
 * Every candidate is verified word by word.
@@ -26,11 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import spread
 from .words import WordHash, mix, words
 
 WINDOW = 20
 MAX_REPLACED = 2
-REPEATS = 8
+REPEATS = 10
 STEPS = 40
 SAMPLED = 4
 #: Characters of item text in one block: some 100 MB of index at most.
@@ -186,6 +187,6 @@ def leaks(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id", item_key:
                     if hits:
                         yield pa.RecordBatch.from_arrays([pa.array([ids[s + d] for d, _ in hits], pa.int64()), pa.array([i for _, i in hits], pa.int64())], ["doc_id", "item_id"])
 
-        part = src.mapInArrow(run, "doc_id bigint, item_id bigint")
+        part = spread(src).mapInArrow(run, "doc_id bigint, item_id bigint")
         out = part if out is None else out.unionByName(part)
     return out.distinct()

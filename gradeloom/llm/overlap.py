@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import materialize
+from ..storage import materialize, spread
 from .words import WordHash, edit_distance, mix, words
 
 BLOCKS = 24
@@ -136,7 +136,7 @@ def near_pairs(records: DataFrame, key: str = "record_key", split: str = "metada
     texts = F.array(*[F.struct(F.lit(i).cast("tinyint").alias("f"), F.col(p).alias("t")) for i, p in enumerate(fields)])
     rows = records.select(F.col(key).cast("bigint").alias("record_key"), side.alias("eval"), F.explode(texts).alias("x"))
     rows = rows.where(F.col("eval").isNotNull() & (F.length("x.t") >= 2 * MIN_WORDS - 1)).select("record_key", "eval", "x.f", "x.t")
-    s = materialize(rows.mapInArrow(_sketch, _SKETCH), "overlap-rows")
+    s = materialize(spread(rows).mapInArrow(_sketch, _SKETCH), "overlap-rows")
     classes = s.groupBy("field", "cls").agg(
         F.max("n").alias("n"),
         F.sum(F.when(F.col("eval"), 0).otherwise(1)).alias("n_train"),

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import spread
+
 FIELDS = ("student_response.text", "task.context")
 FOUND_SCHEMA = "record_key bigint, field string, pii_type string, start_char int, end_char int"
 MAX_WORKS = 100_000
@@ -431,7 +433,7 @@ def find_pii(records: DataFrame, works: DataFrame, key: str = "record_key", fiel
             if cols[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1]), pa.array(cols[2]), pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.int32())], ["record_key", "field", "pii_type", "start_char", "end_char"])
 
-    return _texts(records, key, fields).mapInArrow(run, FOUND_SCHEMA)
+    return spread(_texts(records, key, fields)).mapInArrow(run, FOUND_SCHEMA)
 
 
 def redact_texts(records: DataFrame, works: DataFrame, key: str = "record_key", fields: tuple[str, ...] = FIELDS) -> DataFrame:
@@ -445,4 +447,4 @@ def redact_texts(records: DataFrame, works: DataFrame, key: str = "record_key",
             cases = [f.find(t) for t in texts]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([redact(t, c) for t, c in zip(texts, cases)]), pa.array([len(c) for c in cases], pa.int32())], ["record_key", "field", "text", "n_cases"])
 
-    return _texts(records, key, fields).mapInArrow(run, "record_key bigint, field string, text string, n_cases int")
+    return spread(_texts(records, key, fields)).mapInArrow(run, "record_key bigint, field string, text string, n_cases int")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import materialize, release
+from ..storage import materialize, release, spread
 
 MAX_TYPES = 100_000
 LEAST_COUNT = 5
@@ -469,7 +469,7 @@ def corpus_judgements(docs: DataFrame, text: str = "text") -> dict[str, str]:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ["w", "mid", "up", "bare", "title"])
 
     src = docs.select(F.col(text).alias("t")).where(F.length("t") > 0)
-    parts = src.mapInArrow(count, "w string, mid bigint, up bigint, bare bigint, title bigint")
+    parts = spread(src).mapInArrow(count, "w string, mid bigint, up bigint, bare bigint, title bigint")
     total = materialize(parts.groupBy("w").agg(*[F.sum(x).alias(x) for x in ("mid", "up", "bare", "title")]), "stops")
     seen = F.col("mid") + F.col("up")
     # at most MAX_TYPES tokens can hold 1/MAX_TYPES of all stops each
@@ -508,4 +508,4 @@ def sentence_units(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(a, pa.int32()), pa.array(e, pa.int32()), pa.array(no, pa.int32())], ["doc_id", "start_char", "end_char", "unit_no"])
 
     src = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("t")).where(F.length("t") > 0)
-    return src.mapInArrow(cut, "doc_id bigint, start_char int, end_char int, unit_no int").withColumnRenamed("doc_id", key)
+    return spread(src).mapInArrow(cut, "doc_id bigint, start_char int, end_char int, unit_no int").withColumnRenamed("doc_id", key)
