@@ -3,9 +3,9 @@
 A document of size s belongs to class k when ``capacity/(k+1) < s <= capacity/k``; a
 container of class k takes exactly k documents of that class, so every worker fills
 its containers by itself and nothing is shuffled.  Documents of at most
-``capacity/CLASSES`` are poured one after another.  The room left in a container of a
-large document is a capacity of its own: the next smaller documents that surely fit by
-class are placed there first (harmonic with filled remainders).  A document larger than
+``capacity/CLASSES`` are poured one after another.  The room left in a full container is
+a capacity of its own: a smaller document goes to the tightest remainder that surely takes
+it before a new container is opened (harmonic with filled remainders).  A document larger than
 the capacity is cut into full containers and one rest, the only case of a split.
 
 Size is in tokens of a byte-level tokenizer: one for each UTF-8 byte of the text.
@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CLASSES = 24
+#: Grain in which remainders are told apart.
+STEPS = 256
 MAX_PLANS = 1000
 PIECE_SCHEMA = "plan_id int, capacity int, container string, doc_id bigint, piece int, size bigint, doc_size bigint"
 
@@ -33,7 +35,8 @@ class _Packer:
         self.plan, self.cap, self.worker = plan, cap, worker
         self.seq = 0
         self.open: dict[int, list] = {}  # class -> [container, documents in it]
-        self.room: dict[int, list] = {}  # class of the remainder -> [(container, room)]
+        self.room: dict[int, list] = {}  # remainder in STEPS-ths of the capacity, rounded down -> [(container, room)]
+        self.some = 0  # bit k is set while self.room[k] has a container
         self.pour: list | None = None  # [container, room]
 
     def new(self) -> int:
@@ -41,33 +44,37 @@ class _Packer:
         return self.seq
 
     def _offer(self, box: int, room: int) -> None:
-        """Keep a container whose remainder surely takes a document of some class."""
-        if room > 0:
-            k = -(-self.cap // room)  # a document of class k has size <= cap/k <= room
-            if k < CLASSES:
-                self.room.setdefault(k, []).append((box, room))
+        """Keep what is left of a container for smaller documents."""
+        k = room * STEPS // self.cap
+        if k > 0:
+            self.room.setdefault(k, []).append((box, room))
+            self.some |= 1 << k
+
+    def _remainder(self, size: int) -> tuple[int, int] | None:
+        """The tightest remainder that surely takes a document."""
+        k = -(-size * STEPS // self.cap)
+        fits = self.some >> k
+        if not fits:
+            return None
+        k += (fits & -fits).bit_length() - 1
+        got = self.room[k].pop()
+        if not self.room[k]:
+            self.some &= ~(1 << k)
+        return got
 
     def place(self, size: int) -> int:
         cap = self.cap
-        if size <= 0:
-            size = 0
         k = CLASSES if size * CLASSES <= cap else cap // size
-        # remainders of fuller containers first, the tightest class that surely fits
-        for r in range(k, 0, -1) if k < CLASSES else ():
-            if self.room.get(r):
-                box, room = self.room[r].pop()
-                self._offer(box, room - size)
-                return box
         if k >= CLASSES:
             if self.pour is None or self.pour[1] < size:
-                for r in sorted(self.room, reverse=True):
-                    if self.room[r]:
-                        self.pour = list(self.room[r].pop())
-                        break
-                else:
-                    self.pour = [self.new(), cap]
+                if self.pour is not None:
+                    self._offer(*self.pour)
+                self.pour = list(self._remainder(max(size, 1)) or (self.new(), cap))
             self.pour[1] -= size
             return self.pour[0]
+        if left := self._remainder(size):
+            self._offer(left[0], left[1] - size)
+            return left[0]
         if k == 1:
             box = self.new()
             self._offer(box, cap - size)
@@ -82,9 +89,6 @@ class _Packer:
             self._offer(cur[0], cur[2])
         return cur[0]
 
-    def close(self) -> None:
-        """At the end of a worker, unfilled class containers only waste what is left in them."""
-
 
 def pack(docs: DataFrame, plans: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``PIECE_SCHEMA``: each piece of each document with its container, for every plan.
