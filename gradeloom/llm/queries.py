@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..plans.tables import table
+from ..storage import shared_dir
 from . import leakage, overlap, packing, pii, sampling, sentences, splits
 
 
@@ -33,18 +36,16 @@ def p1_shares(spark, d):
 
 
 def p1_two_deliveries(spark, d):
-    """The table built in two deliveries: components by split and status after the second."""
+    """The table built in two deliveries, cut at the median arrival: all records by split and status."""
     records, targets = table(spark, d, "records"), table(spark, d, "split_targets")
-    early = records.where(F.pmod(F.dayofyear("ingested_at"), F.lit(2)) == 0)
-    late = records.where(F.coalesce(F.pmod(F.dayofyear("ingested_at"), F.lit(2)) != 0, F.lit(True)))
-    st = splits.fold(early, "record_key")
-    done = splits.assign(early, "record_key", targets, st)
-    from ..storage import shared_dir
-    import uuid
-
+    at = F.unix_micros(F.col("ingested_at").cast("timestamp"))
+    middle = records.agg(F.percentile_approx(at, 0.5)).first()[0] or 0
+    early = F.coalesce(at <= middle, F.lit(False))
+    st = splits.fold(records.where(early), "record_key")
+    done = splits.assign(records.where(early), "record_key", targets, st)
     state = splits.save_state(st, done, f"{shared_dir(spark)}/gradeloom/state-{uuid.uuid4().hex}")
-    st2 = splits.fold(late, "record_key", state)
-    out = splits.assign(late, "record_key", targets, st2)
+    st2 = splits.fold(records.where(~early), "record_key", state)
+    out = splits.assign(records, "record_key", targets, st2)
     return out.groupBy("split", "status").agg(F.count_distinct("component").alias("components"), F.count("*").alias("n_rows"))
 
 

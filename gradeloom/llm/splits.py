@@ -87,7 +87,9 @@ def fold(records: DataFrame, key: str, state: DataFrame | None = None, fields: d
     held = F.col("held") | (F.col("n_splits") > 1)
     fate = fate.select("root", F.when(~held, F.col("one_split")).alias("new_split"), F.when(held, "quarantined").when(F.col("n_splits") == 1, "assigned").otherwise("new").alias("new_status"))
     fresh = names.join(state, names.b == state.value, "left_anti").select(F.col("b").alias("value"), F.col("b").alias("component"), F.lit(None).cast("string").alias("split"), F.lit("new").alias("status"))
-    both = state.unionByName(fresh).join(merged.join(fate, "root", "left"), "component", "left")
+    change = merged.join(fate, "root", "left")
+    hot_c = hot_keys(state.groupBy("component").agg(F.count("*").alias("n")), "component", "n", state.count())
+    both = join_unique(state.unionByName(fresh), change, "component", hot_c, F.xxhash64("value"), "left")
     touched = F.col("root").isNotNull()
     table = both.select(
         "value",
@@ -156,6 +158,7 @@ def assign(records: DataFrame, key: str, targets: DataFrame, st: SplitState, fie
 def save_state(st: SplitState, assigned: DataFrame, path: str) -> DataFrame:
     """Write the component table with the splits that ``assign`` chose to a new ``path``."""
     chosen = assigned.select("component", F.col("split").alias("s"), F.col("status").alias("t")).distinct()
-    table = st.table.join(chosen, "component", "left").select("value", "component", F.coalesce("s", "split").alias("split"), F.coalesce("t", "status").alias("status"))
+    hot = hot_keys(st.table.groupBy("component").agg(F.count("*").alias("n")), "component", "n", st.table.count())
+    table = join_unique(st.table, chosen, "component", hot, F.xxhash64("value"), "left").select("value", "component", F.coalesce("s", "split").alias("split"), F.coalesce("t", "status").alias("status"))
     table.write.mode("error").parquet(path)
     return table.sparkSession.read.schema(STATE_SCHEMA).parquet(path)
