@@ -56,7 +56,7 @@ _TERM = r"[.!?…。！？｡।॥؟۔]+"
 _PAIRS = {"“": "”", "«": "»", "‹": "›", "「": "」", "『": "』", "(": ")", "[": "]", "（": "）", "【": "】", "《": "》", "„": "“", "‘": "’", "‚": "‘"}
 _CLOSERS = set("”»›」』)]）】》’\"'")
 _EVENT = re.compile(r"(?P<t>" + _TERM + r")|(?P<q>[“”«»‹›「」『』()\[\]（）【】《》„‘’‚\"])|(?P<th>(?<=[ก-ฺเ-๎])\s+(?=[ก-ฺเ-๎]))")
-_EMPTY = re.compile(r"(?:\r?\n| )[^\S\n]*(?:(?:\r?\n| )[^\S\n]*)+| ")
+_EMPTY = re.compile(r"(?:\r?\n|\u2029)[^\S\n]*(?:(?:\r?\n|\u2029)[^\S\n]*)+|\u2029")
 _MARK = re.compile(r"[^\S\n]*(?:(?P<b>[-–—•*·‣▪◦●])[^\S\n]+|[(]?(?P<n>\d{1,3}|[a-zA-Zçğıöşü])(?P<c>[.)])[^\S\n]+)(?=\S)")
 _NUMBER = re.compile(r"[(]?[\d٠-٩०-९]+(?:[.,:/–-][\d٠-٩०-९]+)*$")
 _LEFT = set(" \t\n\r\xa0　([{“„«‹「『（\"‘*•")
