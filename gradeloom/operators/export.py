@@ -47,3 +47,18 @@ def write_sft(rows: DataFrame, path: str) -> None:
     """JSON lines in one folder per split."""
     line = F.to_json(F.struct("id", "messages", "metadata"), _JSON)
     rows.select(line.alias("value"), "split").write.mode("error").partitionBy("split").text(path)
+
+
+def prepare_training(rows: DataFrame, path: str, expected: dict[str, int]) -> None:
+    """Chat-only lines of the expected splits; raises if a count differs from the freeze, a last
+    message is not the assistant's, or the test split is asked for (it stays sealed)."""
+    if "test" in expected:
+        raise ValueError("the test split is sealed and not part of the training data")
+    part = rows.where(F.col("split").isin(*expected))
+    got = {r["split"]: r["n"] for r in part.groupBy("split").agg(F.count("*").alias("n")).collect()}
+    wrong = {s: (n, got.get(s, 0)) for s, n in expected.items() if got.get(s, 0) != n}
+    if wrong:
+        raise ValueError(f"counts differ from the freeze (expected, found): {wrong}")
+    if not chat_only(part).where("not ok").isEmpty():
+        raise ValueError("a chat does not end with the assistant")
+    part.select(F.to_json(F.struct("messages")).alias("value"), "split").write.mode("error").partitionBy("split").text(path)

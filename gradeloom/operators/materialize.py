@@ -165,15 +165,74 @@ def build_batch(families: DataFrame, overrides: DataFrame | None = None, second_
         r = r.join(second_pass.select("candidate_id", F.lit(2).alias("passes")).distinct(), "candidate_id", "left")
     else:
         r = r.withColumn("passes", F.lit(None).cast("int"))
-    raw, crit = F.col("raw"), F.col("rubric.criteria")
-    text = override_text(F.col("r.text"), raw)
-    review = F.when(has_key(raw, "needs_review"), F.get_json_object(raw, "$.needs_review") == "true").otherwise(F.coalesce("r.needs_review", F.lit(False)))
-    reason = F.when(review, F.when(has_key(raw, "needs_review"), F.get_json_object(raw, "$.review_reason")).otherwise(F.col("r.review_reason")))
+    raw = F.col("raw")
+    review, reason = _review_target(raw)
     source = F.when(has_key(raw, "source_override"), F.get_json_object(raw, "$.source_override")).otherwise(F.coalesce("r.source", F.lit("manual")))
     unsure = F.from_json(F.get_json_object(raw, "$.input_uncertainties_override"), "array<struct<span:string,candidates:array<string>>>")
-    r = r.select("*", text.alias("text"), F.coalesce(review, F.lit(False)).alias("review"), reason.alias("reason"), source.alias("source"), unsure.alias("unsure"), merge_scores(positional_scores(crit, F.col("r.scores")), raw).alias("scores"))
+    r = r.select(
+        "*",
+        override_text(F.col("r.text"), raw).alias("text"),
+        review.alias("review"),
+        reason.alias("reason"),
+        source.alias("source"),
+        unsure.alias("unsure"),
+        merge_scores(positional_scores(F.col("rubric.criteria"), F.col("r.scores")), raw).alias("scores"),
+        override_quality(F.col("r.response_quality"), raw).alias("quality"),
+        override_hard_cases(F.col("r.hard_case_types"), raw).alias("hard"),
+    )
+    return _assemble(r, batch, "batch")
+
+
+def _review_target(raw: Column) -> tuple[Column, Column]:
+    """Review flag and reason: both from the override if it has the flag; no reason without the flag."""
+    given = has_key(raw, "needs_review")
+    review = F.coalesce(F.when(given, F.get_json_object(raw, "$.needs_review") == "true").otherwise(F.col("r.needs_review")), F.lit(False))
+    return review, F.when(review, F.when(given, F.get_json_object(raw, "$.review_reason")).otherwise(F.col("r.review_reason")))
+
+
+def build_wave(families: DataFrame, recalibration: DataFrame, review: DataFrame, batch: str = "wave") -> DataFrame:
+    """Canonical records of transcript waves: recalibration first, then the AI review, which wins.
+
+    Both are tables ``(candidate_id, pos, raw)``.  Recalibration cannot set hard cases; the review's
+    final scores overlay the recalibrated ones.  Speaking families lose criteria that need audio or
+    observation, their rubric becomes ``-transcript`` version 1.1 and scores of lost criteria are
+    dropped.  Serials run per modality across families in written order (``file``, task, response).
+    """
+    t = families.select("*", F.posexplode("tasks").alias("task_pos", "t")).drop("tasks")
+    r = t.select("*", F.posexplode("t.responses").alias("resp_pos", "r")).withColumn("candidate_id", F.col("r.candidate_id"))
+    r = running_serial(r, ["modality"], ["file", "task_pos", "resp_pos"])
+    for name, layer in (("recal", recalibration), ("ai", review)):
+        r = r.join(last_by(layer, "candidate_id", "pos").select("candidate_id", F.col("raw").alias(name)), "candidate_id", "left")
+    recal, ai = F.col("recal"), F.col("ai")
+    source = F.col("rubric.criteria")
+    kept = transcript_criteria(source, F.col("modality"))
+    lost = (F.col("modality") == "speaking") & (F.size(kept) != F.size(source))
+    scores = merge_scores(merge_scores(positional_scores(source, F.col("r.scores")), recal, ("scores", "content_scores")), ai, ("final_scores",))
+    known = F.transform(kept, lambda c: c["criterion_id"])
+    scores = F.map_from_entries(F.filter(F.map_entries(scores), lambda e: F.array_contains(known, e["key"])))
+    target, reason = _review_target(ai)
+    rubric = F.struct(F.when(lost, F.concat("rubric.rubric_id", F.lit("-transcript"))).otherwise(F.col("rubric.rubric_id")).alias("rubric_id"), F.when(lost, "1.1").otherwise(F.col("rubric.version")).alias("version"), kept.alias("criteria"))
+    r = r.select(
+        *[c for c in r.columns if c != "rubric"],
+        rubric.alias("rubric"),
+        override_text(override_text(F.col("r.text"), recal), ai).alias("text"),
+        target.alias("review"),
+        reason.alias("reason"),
+        F.coalesce("r.source", F.lit("manual")).alias("source"),
+        F.lit(None).cast("array<struct<span:string,candidates:array<string>>>").alias("unsure"),
+        scores.alias("scores"),
+        override_quality(override_quality(F.col("r.response_quality"), recal), ai).alias("quality"),
+        override_hard_cases(F.col("r.hard_case_types"), ai).alias("hard"),
+        F.lit(None).cast("int").alias("passes"),
+    )
+    return _assemble(r, batch, "wave1")
+
+
+def _assemble(r: DataFrame, batch: str, rules: str) -> DataFrame:
+    """Nested canonical records from resolved columns, with an ``error`` column."""
+    crit = F.col("rubric.criteria")
     score = lambda c: F.try_element_at("scores", c["criterion_id"])
-    results = F.transform(crit, lambda c: F.struct(c["criterion_id"].alias("criterion_id"), score(c).alias("score"), evidence_for(F.col("text"), c["criterion_id"], score(c)).alias("evidence"), justification(c["name"], c["criterion_id"], c["scoring_anchors"], score(c)).alias("justification")))
+    results = F.transform(crit, lambda c: F.struct(c["criterion_id"].alias("criterion_id"), score(c).alias("score"), evidence_for(F.col("text"), c["criterion_id"], score(c), rules).alias("evidence"), justification(c["name"], c["criterion_id"], c["scoring_anchors"], score(c)).alias("justification")))
     r = r.withColumn("results", results).withColumn("total", F.aggregate("results", F.lit(0.0), lambda a, x: a + x["score"])).withColumn("maximum", F.aggregate(crit, F.lit(0.0), lambda a, x: a + x["max_score"]))
     bad = F.exists(crit, lambda c: score(c).isNull() | (score(c) < 0) | (score(c) > c["max_score"]))
     error = F.when(~F.coalesce(F.col("source").isin(*RESPONSE_SOURCES), F.lit(False)), "source").when(F.col("source").isin("raw_ocr", "raw_stt") & (F.coalesce(F.size("unsure"), F.lit(0)) <= 0), "uncertainties").when(bad | F.exists(F.map_keys("scores"), lambda k: ~F.exists(crit, lambda c: c["criterion_id"] == k)), "scores")
@@ -183,7 +242,7 @@ def build_batch(families: DataFrame, overrides: DataFrame | None = None, second_
         F.struct(F.col("t.task_id"), F.col("t.prompt"), F.col("t.context"), F.col("maximum").alias("max_score")).alias("task"), "rubric",
         F.struct("text", "source", F.array().cast("array<struct<label:string,value:string,source:string>>").alias("observations"), F.when(F.size("unsure") > 0, F.col("unsure")).alias("input_uncertainties")).alias("student_response"),
         F.struct(F.col("results").alias("criterion_results"), F.col("total").alias("total_score"), F.col("maximum").alias("max_score"), F.col("review").alias("needs_review"), F.col("reason").alias("review_reason"), feedback(F.col("total"), F.col("maximum"), F.col("review")).alias("overall_feedback")).alias("gold_evaluation"),
-        F.struct(F.lit("ai_verified").alias("status"), F.lit(None).cast("string").alias("split"), "created_at", tags.alias("tags"), F.lit(True).alias("pii_reviewed"), F.lit(None).cast("string").alias("subject_group_id"), "exam_family", "question_family", F.lit("synthetic").alias("provenance"), F.lit("ai").alias("verification_source"), override_quality(F.col("r.response_quality"), raw).alias("response_quality"), override_hard_cases(F.col("r.hard_case_types"), raw).alias("hard_case_types"), F.coalesce("r.adversarial", F.lit(False)).alias("adversarial"), F.coalesce("passes", F.lit(1)).alias("review_count"), F.lit(False).alias("adjudicated")).alias("metadata"),
+        F.struct(F.lit("ai_verified").alias("status"), F.lit(None).cast("string").alias("split"), "created_at", tags.alias("tags"), F.lit(True).alias("pii_reviewed"), F.lit(None).cast("string").alias("subject_group_id"), "exam_family", "question_family", F.lit("synthetic").alias("provenance"), F.lit("ai").alias("verification_source"), F.col("quality").alias("response_quality"), F.col("hard").alias("hard_case_types"), F.coalesce("r.adversarial", F.lit(False)).alias("adversarial"), F.coalesce("passes", F.lit(1)).alias("review_count"), F.lit(False).alias("adjudicated")).alias("metadata"),
         "candidate_id", error.alias("error"),
     )
 

@@ -80,3 +80,13 @@ def repo_root(start: str, marker: str) -> str:
         if (d / marker).exists():
             return str(d)
     raise FileNotFoundError(f"no {marker} at or above {start}")
+
+
+def write_report(path: str, report: dict) -> None:
+    """A small report as indented UTF-8 JSON with a final newline; folders are made as needed."""
+    import json
+    from pathlib import Path
+
+    p = Path(path)
+    p.parent.mkdir(parents=True, exist_ok=True)
+    p.write_text(json.dumps(report, ensure_ascii=False, indent=2) + "\n", encoding="utf-8")

@@ -47,6 +47,22 @@ def test_build_errors(spark):
     assert built(spark, scores=[1.0])["c1"].error == "scores"
 
 
+def test_wave_layers(spark):
+    fam = family()
+    audio = {**CRIT[1], "criterion_id": "audio", "evidence_sources": ["audio_delivery"]}
+    fam[0]["modality"] = "speaking"
+    fam[0]["rubric"]["criteria"] = [CRIT[0], audio]
+    second = {**fam[0], "file": "g", "grade": 10}
+    df = spark.createDataFrame([fam[0], second], M.FAMILY_DDL)
+    layer = lambda o: spark.createDataFrame([("c1", 0, json.dumps(o))], "candidate_id string, pos int, raw string")
+    got = M.build_wave(df, layer({"text_override": "r", "content_scores": {"claim": 1}, "hard_case_types_override": []}), layer({"final_scores": {"claim": 2}, "needs_review": True, "review_reason": "x"})).collect()
+    one = next(r for r in got if r.id == "tde09-speaking-000001")
+    assert sorted(r.id for r in got) == ["tde09-speaking-000001", "tde09-speaking-000002", "tde10-speaking-000003", "tde10-speaking-000004"]
+    assert one.gold_evaluation.total_score == 2.0 and one.student_response.text == "r" and one.metadata.hard_case_types == ["short_correct"]
+    assert one.rubric.rubric_id == "r-transcript" and one.rubric.version == "1.1" and len(one.rubric.criteria) == 1
+    assert one.gold_evaluation.needs_review and one.gold_evaluation.review_reason == "x" and one.error is None
+
+
 def test_scalars(spark):
     one = spark.createDataFrame([(" \tx ", "a. b!  c/d", 8.0, "z" * 200)], "a string, s string, n double, l string")
     r = one.select(T.ustrip(F.col("a")).alias("a"), T.sentences(F.col("s")).alias("s"), T.number_g(F.col("n")).alias("n"), T.clip(F.col("l")).alias("l"), T.half_even(F.lit(2.5)).alias("h")).first()

@@ -49,6 +49,16 @@ def test_sft(spark, tmp_path):
     export.write_sft(sft, str(tmp_path / "sft"))
     assert (tmp_path / "sft" / "split=train").exists()
     assert [r.ok for r in export.chat_only(sft).collect()] == [True, True]
+    export.prepare_training(sft, str(tmp_path / "train"), {"train": 2})
+    assert (tmp_path / "train" / "split=train").exists()
+    for wrong in ({"train": 3}, {"train": 2, "test": 0}):
+        try:
+            export.prepare_training(sft, str(tmp_path / "other"), wrong)
+        except ValueError:
+            continue
+        raise AssertionError(wrong)
+    S.write_report(str(tmp_path / "deep" / "r.json"), {"ölçüt": 1})
+    assert json.loads((tmp_path / "deep" / "r.json").read_text(encoding="utf-8")) == {"ölçüt": 1}
 
 
 def test_lock(spark, tmp_path):
