@@ -25,7 +25,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     empty edge table gives an empty result, repeated edges are counted once.
     """
     clean = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
-    loops = clean.where("a = b").select(F.col("a").alias("node"))
+    nodes = clean.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     e = materialize(
         clean.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
         "cc-edges",
@@ -59,11 +59,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         raise RuntimeError(f"components not settled after {max_rounds} rounds")
     release(e)
     if not pointers:
-        return loops.distinct().select("node", F.col("node").alias("root"))
+        return nodes.select("node", F.col("node").alias("root"))
     roots = pointers[-1][0].select(F.col("u").alias("node"), F.col("p").alias("root"))
     for m, hot in reversed(pointers[:-1]):
         later = roots.select(F.col("node").alias("p"), "root")
         here = join_unique(m, later, "p", hot, F.xxhash64("u"), "left")
         roots = here.select(F.col("u").alias("node"), F.coalesce("root", "p").alias("root"))
-    lone = loops.distinct().join(roots.select("node"), "node", "left_anti")
-    return roots.unionByName(lone.select("node", F.col("node").alias("root")))
+    # a vertex that only has a self-loop is in no pointer table
+    return nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
