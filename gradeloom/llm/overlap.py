@@ -9,8 +9,7 @@ the hashes, while the Hamming distance of unrelated texts is near 384 bits.
    a block are candidates.  Texts under 16 words, of which a quarter is few pairs, have 8
    blocks more.  Expected share of true pairs found: 0.9997 at 15 % changed words, 0.90 to
    0.97 by length in the worst spread of 25 %.
-2. Candidates within the Hamming radius that their length allows go on; a coarse form of
-   the test, on 128 bits that travel with the blocks, comes before anything is shuffled.
+2. Candidates within the Hamming radius that their length allows go on.
 3. Word-level edit distance decides, first in the JVM over one code point per word, then
    exactly over the words of the few that are left.
 
@@ -25,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import materialize, spread
@@ -35,7 +34,6 @@ BLOCKS = 24
 #: More blocks for texts of fewer than SHORT words.
 EXTRA = 8
 SHORT = 16
-COMPONENTS = 2 * (BLOCKS + EXTRA)
 MIN_WORDS = 8
 #: The text fields, and the splits of each side.
 FIELDS = ("student_response.text", "task.prompt", "task.context")
@@ -45,14 +43,18 @@ EVAL = ("validation", "test", "benchmark")
 SLACK_BITS = 90
 MEMBERS_PER_SALT = 2000
 
-_rng = np.random.default_rng(20240229)
-_MUL = _rng.integers(1, 2**63, COMPONENTS, dtype=np.uint64) | np.uint64(1)
-_ADD = _rng.integers(0, 2**63, COMPONENTS, dtype=np.uint64)
 
-#: Hashes of which four bits each travel with every block, as two 64-bit words.
-NIBBLES = 32
 
-_SKETCH = "record_key bigint, eval boolean, field tinyint, cls binary, n int, fp array<int>, s1 bigint, s2 bigint, code string, words string"
+def _draws(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(seed)
+    return rng.integers(1, 2**63, n, dtype=np.uint64) | np.uint64(1), rng.integers(0, 2**63, n, dtype=np.uint64)
+
+
+# the blocks of all texts and those of short ones are drawn apart
+_BASE, _MORE = _draws(20240229, 2 * BLOCKS), _draws(20240301, 2 * EXTRA)
+_MUL, _ADD = (np.concatenate(x) for x in zip(_BASE, _MORE))
+
+_SKETCH = "record_key bigint, eval boolean, field tinyint, cls binary, n int, fp array<int>, code string, words string"
 
 
 def fingerprints(hashes: np.ndarray, starts: np.ndarray, first: int = 0, blocks: int = BLOCKS) -> np.ndarray:
@@ -69,15 +71,6 @@ def fingerprints(hashes: np.ndarray, starts: np.ndarray, first: int = 0, blocks:
     return (out[:, 0::2] | (out[:, 1::2] << np.uint32(16))).view(np.int32)
 
 
-def _nibbles(fp: np.ndarray) -> tuple[list[int], list[int]]:
-    """Four bits of each of the first 32 hashes of each fingerprint, packed into two 64-bit words."""
-    u = fp.view(np.uint32)[:, : NIBBLES // 2].astype(np.uint64)
-    four = np.stack([u & np.uint64(15), (u >> np.uint64(16)) & np.uint64(15)], 2).reshape(len(fp), NIBBLES)
-    shift = np.arange(NIBBLES // 2, dtype=np.uint64) * np.uint64(4)
-    half = [np.bitwise_or.reduce(four[:, h : h + NIBBLES // 2] << shift, 1).view(np.int64).tolist() for h in (0, NIBBLES // 2)]
-    return half[0], half[1]
-
-
 def _code(hashes: np.ndarray) -> str:
     """One supplementary code point per word."""
     return ((hashes >> np.uint64(44)).astype(np.uint32) + np.uint32(0x10000)).astype("<u4").tobytes().decode("utf-32-le")
@@ -85,7 +78,7 @@ def _code(hashes: np.ndarray) -> str:
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     memo = WordHash()
-    schema = pa.schema([("record_key", pa.int64()), ("eval", pa.bool_()), ("field", pa.int8()), ("cls", pa.binary()), ("n", pa.int32()), ("fp", pa.list_(pa.int32())), ("s1", pa.int64()), ("s2", pa.int64()), ("code", pa.string()), ("words", pa.string())])
+    schema = pa.schema([("record_key", pa.int64()), ("eval", pa.bool_()), ("field", pa.int8()), ("cls", pa.binary()), ("n", pa.int32()), ("fp", pa.list_(pa.int32())), ("code", pa.string()), ("words", pa.string())])
     for b in batches:
         keys, side, field, texts = (b.column(i).to_pylist() for i in range(4))
         known: dict[str, tuple | None] = {}
@@ -109,14 +102,12 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows.append((k, s, f, c, first))
         if not rows:
             continue
-        fps, codes, s1, s2 = [], [], [], []
+        fps, codes = [], []
         if fresh:
             lens = np.array([c[1] for c in fresh])
             flat = np.fromiter((memo[w] for c in fresh for w in c[3]), np.uint64, int(lens.sum()))
             starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
-            fps = fingerprints(flat, starts)
-            s1, s2 = _nibbles(fps)
-            fps = fps.tolist()
+            fps = fingerprints(flat, starts).tolist()
             short = np.flatnonzero(lens < SHORT)
             if len(short):
                 part = np.concatenate([flat[starts[i] : starts[i] + lens[i]] for i in short])
@@ -124,17 +115,15 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for i, x in zip(short.tolist(), more):
                     fps[i] += x
             codes = [_code(flat[s : s + n]) for s, n in zip(starts, lens)]
-        it = iter(zip(fps, codes, s1, s2))
-        fp_col, code_col, word_col, s1_col, s2_col = [], [], [], [], []
+        it = iter(zip(fps, codes))
+        fp_col, code_col, word_col = [], [], []
         for r in rows:
-            x = next(it) if r[4] else (None, None, None, None)
+            x = next(it) if r[4] else (None, None)
             fp_col.append(x[0])
             code_col.append(x[1])
-            s1_col.append(x[2])
-            s2_col.append(x[3])
             word_col.append(r[3][2] if r[4] else None)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows], pa.int8()), pa.array([r[3][0] for r in rows], pa.binary()), pa.array([r[3][1] for r in rows], pa.int32()), pa.array(fp_col, pa.list_(pa.int32())), pa.array(s1_col, pa.int64()), pa.array(s2_col, pa.int64()), pa.array(code_col, pa.string()), pa.array(word_col, pa.string())],
+            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows], pa.int8()), pa.array([r[3][0] for r in rows], pa.binary()), pa.array([r[3][1] for r in rows], pa.int32()), pa.array(fp_col, pa.list_(pa.int32())), pa.array(code_col, pa.string()), pa.array(word_col, pa.string())],
             schema=schema,
         )
 
@@ -151,27 +140,6 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out.select(["field", "ca", "cb", "n_train"])
 
 
-def _least_share(longer: Column) -> Column:
-    """Least share of word pairs that two texts within the edit limit have in common, by the longer one's words."""
-    kept = F.greatest(longer - 1 - 2 * F.floor(longer / 4), F.lit(0))
-    return kept / (2 * (longer - 1) - kept)
-
-
-def _agree() -> Column:
-    """Do the packed four-bit hashes agree as often as the lengths demand, less three standard deviations?"""
-    ones = F.lit(0x1111111111111111)
-
-    def differing(a: str, b: str) -> Column:
-        d = F.col(a).bitwiseXOR(F.col(b))
-        any_bit = d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseOR(F.shiftrightunsigned(d, 2)).bitwiseOR(F.shiftrightunsigned(d, 3))
-        return F.bit_count(any_bit.bitwiseAND(ones))
-
-    share = _least_share(F.greatest("nx", "ny"))
-    p = share + (1 - share) / 16
-    least = NIBBLES * p - 3 * F.sqrt(NIBBLES * p * (1 - p))
-    return NIBBLES - differing("sx1", "sy1") - differing("sx2", "sy2") >= least
-
-
 def near_pairs(records: DataFrame, key: str = "record_key", split: str = "metadata.split", fields: tuple[str, ...] = FIELDS) -> DataFrame:
     """``(record_key_a, record_key_b, field)``: rows of opposite sides whose text in ``field`` nearly agrees.
 
@@ -190,25 +158,24 @@ def near_pairs(records: DataFrame, key: str = "record_key", split: str = "metada
         F.sum(F.when(F.col("eval"), 0).otherwise(1)).alias("n_train"),
         F.sum(F.when(F.col("eval"), 1).otherwise(0)).alias("n_eval"),
         F.first("fp", ignorenulls=True).alias("fp"),
-        F.max("s1").alias("s1"),
-        F.max("s2").alias("s2"),
         F.max("code").alias("code"),
         F.max("words").alias("words"),
     )
     c = materialize(classes.withColumn("cid", F.monotonically_increasing_id()), "overlap-texts")
-    carried = ["cid", "n", "n_train", "n_eval", "s1", "s2"]
-    blocks = c.select(*carried, (F.col("field").cast("int") * (BLOCKS + EXTRA)).alias("base"), F.posexplode("fp").alias("b", "v"))
-    blocks = blocks.select(*carried, (F.col("base") + F.col("b")).cast("short").alias("b"), "v")
-    ev = blocks.where("n_eval > 0").select(F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("s1").alias("sx1"), F.col("s2").alias("sx2"), "b", "v")
-    tr = blocks.where("n_train > 0").select(F.col("cid").alias("y"), F.col("n").alias("ny"), F.col("s1").alias("sy1"), F.col("s2").alias("sy2"), "b", "v")
+    blocks = c.select("cid", "n", "n_train", "n_eval", (F.col("field").cast("int") * (BLOCKS + EXTRA)).alias("base"), F.posexplode("fp").alias("b", "v"))
+    blocks = blocks.select("cid", "n", "n_train", "n_eval", (F.col("base") + F.col("b")).cast("short").alias("b"), "v")
+    ev = blocks.where("n_eval > 0").select(F.col("cid").alias("x"), F.col("n").alias("nx"), "b", "v")
+    tr = blocks.where("n_train > 0").select(F.col("cid").alias("y"), F.col("n").alias("ny"), "b", "v")
     fits = F.abs(F.col("nx") - F.col("ny")) * 4 <= F.greatest("nx", "ny")
-    cand = ev.join(tr, ["b", "v"]).where((F.col("x") != F.col("y")) & fits & _agree()).select("x", "y").distinct()
+    cand = ev.join(tr, ["b", "v"]).where((F.col("x") != F.col("y")) & fits).select("x", "y").distinct()
     a = c.where("n_eval > 0").select(F.col("cid").alias("x"), F.col("n").alias("na"), F.col("fp").alias("fa"), F.col("code").alias("da"))
     z = c.where("n_train > 0").select(F.col("cid").alias("y"), F.col("n").alias("nb"), F.col("fp").alias("fb"), F.col("code").alias("db"))
     both = cand.join(a, "x").join(z, "y")
     longer = F.greatest("na", "nb")
     k = F.floor(longer / 4).cast("int")
-    radius = F.lit(384.0) * (1 - _least_share(longer)) + SLACK_BITS
+    # word pairs that survive k edits, of all that the two texts can have
+    kept = F.greatest(longer - 1 - 2 * k, F.lit(0))
+    radius = F.lit(384.0) * (1 - kept / (2 * (longer - 1) - kept)) + SLACK_BITS
     # bit_count widens to 64 bits, so the sign bits are masked away
     bits = F.aggregate(F.zip_with(F.slice("fa", 1, BLOCKS), F.slice("fb", 1, BLOCKS), lambda p, q: F.bit_count(p.bitwiseXOR(q).cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)))), F.lit(0), lambda t, v: t + v)
     near = both.where(bits <= radius).withColumn("k", k)
