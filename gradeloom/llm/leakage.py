@@ -1,8 +1,10 @@
 """Evaluation texts leaking into training text.
 
-A document leaks an item when it holds 20 consecutive words of it with at most two of
-them replaced (any longer run with one word in ten replaced contains such a window), or
-an item of under 20 words whole and unaltered.
+A document leaks an item when it holds at least 20 consecutive words of it with at most
+one word in ten replaced, or an item of under 20 words whole and unaltered.  A run of 40
+or more splits into 20 words and a rest of which one keeps the share, so two forms are
+left: 20 words with at most two replaced, and 30 words with three.  A run of 30 that holds
+no window of the first form has its three replaced words among the middle ten.
 
 * Item-sized windows of both sides are embedded by the CGK random walk: 40 steps that
   emit the current word and move on when a random bit of (step, word) says so, which
@@ -10,6 +12,7 @@ an item of under 20 words whole and unaltered.
 * Repeated bit-sampling: each of 10 repeats keys a window by 4 sampled places of its
   walk.  A window with two words replaced is found with probability 0.99, with one or
   none replaced with more than 0.999; a passage has many windows.
+* Runs of 30 words are keyed by their first and last ten words, which loses none.
 * Every candidate is verified word by word.
 
 The items are the query set.  They are read to the driver in blocks of bounded size
@@ -31,6 +34,7 @@ from .words import WordHash, mix, words
 
 WINDOW = 20
 MAX_REPLACED = 2
+LONG_WINDOW, LONG_REPLACED, FLANK = 30, 3, 10
 REPEATS = 10
 STEPS = 40
 SAMPLED = 4
@@ -43,6 +47,7 @@ _SEED = _rng.integers(1, 2**63, REPEATS, dtype=np.uint64) | np.uint64(1)
 _PLACES = [np.sort(_rng.choice(STEPS - 6, SAMPLED, replace=False)) for _ in range(REPEATS)]
 _FACTOR = _rng.integers(1, 2**63, SAMPLED, dtype=np.uint64) | np.uint64(1)
 _END = np.uint64(0x5BD1E995)
+_FLANK_FACTOR = np.random.default_rng(78).integers(1, 2**63, 2 * FLANK, dtype=np.uint64) | np.uint64(1)
 
 
 def cgk_keys(h: np.ndarray, starts: np.ndarray, size: int, repeat: int) -> np.ndarray:
@@ -65,6 +70,18 @@ def cgk_keys(h: np.ndarray, starts: np.ndarray, size: int, repeat: int) -> np.nd
     return mix(key + np.uint64(repeat))
 
 
+def flank_keys(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Keys of the first and last ten words of the windows ``h[s : s + LONG_WINDOW]``."""
+    key = np.zeros(len(starts), np.uint64)
+    for k in range(FLANK):
+        key += h[starts + k] * _FLANK_FACTOR[k] + h[starts + LONG_WINDOW - FLANK + k] * _FLANK_FACTOR[FLANK + k]
+    return mix(key)
+
+
+def window_keys(h: np.ndarray, starts: np.ndarray, size: int, repeat: int) -> np.ndarray:
+    return flank_keys(h, starts) if size == LONG_WINDOW else cgk_keys(h, starts, size, repeat)
+
+
 class ItemIndex:
     """Keys of all windows of a block of items."""
 
@@ -87,18 +104,21 @@ class ItemIndex:
             return
         long = np.flatnonzero(self.len >= WINDOW)
         groups = [(WINDOW, long, REPEATS, MAX_REPLACED)] if len(long) else []
+        longer = np.flatnonzero(self.len >= LONG_WINDOW)
+        if len(longer):
+            groups.append((LONG_WINDOW, longer, 1, LONG_REPLACED))
         for lo, hi in ((16, WINDOW), (8, 16), (4, 8), (2, 4), (1, 2)):
             short = np.flatnonzero((self.len >= lo) & (self.len < hi))
             if len(short):
                 groups.append((int(self.len[short].min()), short, 1, 0))
         for size, who, repeats, slack in groups:
-            n_win = self.len[who] - WINDOW + 1 if slack else np.ones(len(who), np.int64)
+            n_win = self.len[who] - size + 1 if slack else np.ones(len(who), np.int64)
             owner = np.repeat(who, n_win)
             first = np.concatenate([[0], np.cumsum(n_win)[:-1]])
             at = np.arange(len(owner)) - np.repeat(first, n_win) + self.start[owner]
             keys, order = [], []
             for r in range(repeats):
-                k = cgk_keys(self.h, at, size, r)
+                k = window_keys(self.h, at, size, r)
                 o = np.argsort(k, kind="stable")
                 keys.append(k[o])
                 order.append(o)
@@ -122,7 +142,7 @@ class ItemIndex:
                 starts = ok[c : c + CHUNK]
                 cand = []
                 for r in range(len(keys)):
-                    k = cgk_keys(h, starts, size, r)
+                    k = window_keys(h, starts, size, r)
                     a, b = np.searchsorted(keys[r], k), np.searchsorted(keys[r], k, "right")
                     n = b - a
                     hit = np.flatnonzero(n)
