@@ -34,16 +34,48 @@ FIRST_NAMES = frozenset(
     "fatma ayse emine hatice zeynep elif meryem serife sultan hanife merve havva zehra esra fadime ozlem hacer yasemin melek rabia hulya "
     "cemile sevim gulsum leyla dilek busra aysel songul kubra halime esma aynur kader sevgi hayriye tugba sevda nermin selin defne melis "
     "sule gizem ayca omur asli aslihan ayla aylin basak bahar banu belgin berna beste betul burcu canan ceren cigdem damla derya didem "
-    "duygu ebru ece eda ela esin evrim ezgi feride filiz funda gamze gonca gul gulay gulcan hande hale ilknur ipek irem jale".split()
+    "duygu ebru ece eda ela esin evrim ezgi feride filiz funda gamze gonca gul gulay gulcan hande hale ilknur ipek irem jale "
+    "kader kamile keziban kivilcim lale lamia lerzan lutfiye mehtap mebrure medine mediha melahat melda melike melisa meltem meral mihriban mine "
+    "miray muazzez mualla mujde mukaddes munevver muge mujgan mutlu muzeyyen nagihan nazan nazife nazli nazlican nebahat necla nehir neriman nermin nesibe neslihan nesrin "
+    "nevin nezihe nigar nihal nihan nil nilay nilgun nilufer nisa nur nuran nuray nurcan nurdan nurgul nurhan nursel nurten oya oznur ozge ozgul pelin pelinsu perihan "
+    "pervin petek pinar rana refika reyhan ruya ruveyda saadet sabiha sabriye sadiye safiye saime saliha sanem seda sedef seher selda selma semiha semra sena serap serpil seval sevgul "
+    "sevil sevilay sevinc seyma sibel sidika simge sinem sirin solmaz sude sudenaz suheyla suna sukran sukriye sumeyye suzan sahika sehnaz sebnem sermin simal tuba tulay tulin turkan "
+    "ulku umran umran ummuhan vildan yagmur yaprak yaren yeliz yesim yildiz yonca zahide zeliha zekiye zerrin zisan zubeyde zuhal zuleyha zumra asya azra beren berra ceyda ceylin ceren cansu "
+    "dilara dilan dilay ecrin elanur eylul feyza gulsah gulsen gulten gunes handan hatun hazal hilal hira hicran huriye ikbal ilayda inci kardelen kezban miray naz oyku perin ravza sila tuana tugce zeren "
+    "adem adnan akin alaattin alican alparslan altan anil asim atakan atilla aydin aykut aytac aziz bahadir bahattin batuhan bayram bedirhan behcet bekir berat berkan berkay besim bilal bilgin birol bulent "
+    "bunyamin burhan cafer cahit caglar cavit celal celalettin cemal cemil cenk cetin cevat cevdet cihat coskun cumali davut dursun ecevit efekan emin emirhan emir emrah ender ensar ercument erdal erdinc erdogan "
+    "erhan erol ertan ertugrul esat eyup ethem fahri faruk fazil ferdi ferit fevzi feyyaz firat fuat galip gazi giray goktug gultekin gunay gurbuz gursel habib haci hakki haldun halit hamdi hamit hamza harun hasim hayati "
+    "hayri hidayet hikmet hilmi hudai hulusi husnu idris ihsan ilyas irfan isa ishak ismet izzet kaya kazim kenan kerim kubilay kutay lutfi mahir mazhar mecit mehdi memduh mesut mevlut mikail miran mithat muammer muaz muhammed muhammet muharrem "
+    "muhittin muhsin mujdat mumin munir musa muslum mustakim muzaffer nadir nail namik nazim necati necip necmettin nedim nejat nevzat niyazi nizamettin numan nurettin nurullah oguzhan olcay onder onur orcun ozcan ozgur ozkan raif raif ramiz rauf "
+    "refik remzi resat resit ridvan rifat rustem ruhi rustu sabahattin sabri sadettin sadik saffet saim sait salim samet samim satilmis sebahattin sefa sefer selahattin selami selcuk serdal serkut seyfettin seyfi sezai sezgin sirri sitki sinasi sukru suat "
+    "sakir saban sahin serafettin seref sevket taha tahir tahsin talat talha tanju tarkan tayyar tekin temel teoman tevfik tugrul tuna tunc turan turgay turgut turhan ufuk ulas utku vahap vahit vural yakup yalcin yasin yekta yildirim yilmaz yunus yuksel "
+    "zeynel zihni ziya zulfu".split()
 )
 #: of these, the ones that are also everyday words: a capital alone says nothing
-EVERYDAY = frozenset("umut deniz bahar sevgi sevda damla derya ege ozlem can cem mert gul ipek sultan basak duygu evrim onur zafer yigit tufan yavuz dilek melek omur cagri defne eda ela gonca hale cigdem eren kadir yasar sevim ilhan polat dogan alp efe arda metin engin erdem".split())
+EVERYDAY = frozenset("umut deniz bahar sevgi sevda damla derya ege ozlem can cem mert gul ipek sultan basak duygu evrim onur zafer yigit tufan yavuz dilek melek omur cagri defne eda ela gonca hale cigdem eren kadir yasar sevim ilhan polat dogan alp efe arda metin engin erdem "
+    "kader lale mutlu nazli nehir nil nur pinar petek reyhan ruya saadet sedef seher serap sevinc sirin simge suna yagmur yaprak yildiz yonca gunes hilal inci kardelen naz oyku sila eylul mine mehtap meltem nihan sena hatun "
+    "akin aydin aziz bayram bilgin coskun dursun emin emir gazi haci hidayet hikmet galip kaya kerim mecit mahir mumin nadir nail onder ozgur rauf sadik saffet sefer selami serap seref sezgin sahin sabit temel tuna tunc turan ufuk ulku ulas utku yalcin yildirim yilmaz yuksel zihni ziya firat cetin davut "
+    "satilmis tekin petek tahir erdogan ecevit yunus miran asya isa musa muhammed hira medine habib izzet ender yakup hamdi hulusi celal cemal sitki sirri ihsan irfan ismet".split())
 #: announce a name
 NAME_BEFORE = ("adim", "ismim", "adi", "ben", "imza", "hazirlayan", "yazan", "ogretmenim", "ogretmenimiz", "ogretmeni", "hocamiz", "arkadasim", "arkadasimiz", "oturan", "komsumuz", "komsum", "agabeyim", "abim", "ablam", "kardesim", "kuzenim", "annem", "babam", "dedem", "teyzem", "halam", "amcam", "dayim", "velim", "velisi", "ustunde", "kisi", "kosesine", "grup", "odevi", "sayin", "sn", "bay", "bayan", "ogrencim", "mudurumuz")
 #: announce a name so clearly that it need not be a known one
 STRONG_BEFORE = frozenset("adim ismim imza hazirlayan oturan velim ustunde kisi kosesine grup ben arkadasim ogretmenim ogretmenimiz".split())
+#: announce a person, so that any capitalised word after them is a name
+NAMING = STRONG_BEFORE - {"ben", "ustunde", "kisi", "kosesine", "grup"} | frozenset("ogretmeni hocamiz arkadasimiz komsumuz komsum agabeyim abim ablam kardesim kuzenim annem babam dedem teyzem halam amcam dayim velisi sayin sn bay bayan ogrencim mudurumuz".split())
 #: follow a name
 NAME_AFTER = frozenset("hanim bey hanimefendi beyefendi hoca hocam ogretmen teyze amca abla abi".split())
+#: of these, the ones that follow no other capitalised word than a name or a calling
+ADDRESS_AFTER = frozenset("hanim bey hanimefendi beyefendi hoca".split())
+#: capitalised without being a name of a person, where a name is expected
+NO_PERSON = frozenset(
+    "turkce turk turkiye ingilizce almanca fransizca arapca edebiyat matematik tarih cografya fizik kimya biyoloji felsefe fen din resim muzik beden rehberlik sinif mudur mudire muavin doktor avukat hakim komutan pasa "
+    "ankara istanbul izmir bursa antalya adana konya trabzon almanya avrupa anadolu allah tanri ataturk pazartesi sali carsamba persembe cuma cumartesi pazar ocak subat mart nisan mayis haziran temmuz agustos eylul ekim kasim aralik "
+    "sayin sevgili degerli kiymetli saygideger merhaba selam evet hayir peki tamam tesekkurler lutfen canim sizin senin onun onlar siz sen biri bir her hicbir kimi bazi butun tum hangi nasil neden niye eger ama fakat ancak cunku yani sonra once simdi bugun dun yarin "
+    "kucuk buyuk genc yasli yeni eski guzel iyi kotu ilk son diger baska oteki ayni boyle soyle gercek zengin fakir komsu yabanci beyaz kara metin metinde metnin hikaye hikayede siir siirde roman romanda yazar sair anlatici kahraman karakter soru cevap yanit odev sinav "
+    "adim ismim telefon telefonum telefonu telefonumuz numara numaram numarasi cep gsm ara arayin iletisim faks fax veli velim ev is tel email eposta posta mail kayit imza tarih yer sube".split()
+)
+#: minutes, metres and the like after a number that is no house number
+_UNIT = re.compile(r"\s*(?:['’]|(?:dakika|dk|saat|gun|hafta|ay|yil|yas|km|kilometre|metre|m|adim|kez|kere|defa|tane|kisi|bin|milyon|yuz|lira|tl|basamak)\w*\b)")
 #: written with a capital at a sentence start but no part of a name or a street
 NO_NAME = frozenset("biz bizim ben benim evimiz evim ev mektubu mektup adres adresi adresim adresimiz sonuc kargosunu zarfin ustunde kayitta konusan kisi ve ile de da bu su o tel telefon imza no mah mahallesi mahalle sok sokak sokagi cad cadde caddesi bulvar bulvari sk cd mh tc t c kimlik nufus numaram okul ogrenci grup adim hocam emin yine bence ayrica bana gore".split())
 MAH = r"(?:mahallesi|mahalle|mah|mh)"
@@ -51,7 +83,7 @@ STREET = r"(?:sokagi|sokak|sok|sk|caddesi|cadde|cad|cd|bulvari|bulvar|blv|yolu|m
 POSSESSED = frozenset("dibi onu alti ustu yolu basi arkasi ici yani".split())
 
 #: anchors that must begin a word, and but for street words also end one
-_WHOLE = frozenset(("name", "cue", "street", "spelled"))
+_WHOLE = frozenset(("name", "cue", "title", "street", "spelled"))
 
 _NUM_WORDS = {"sifir", "bir", "iki", "uc", "dort", "bes", "alti", "yedi", "sekiz", "dokuz", "on", "yirmi", "otuz", "kirk", "elli", "altmis", "yetmis", "seksen", "doksan", "yuz"}
 _FOLD = {}
@@ -104,8 +136,10 @@ def _automaton() -> ahocorasick.Automaton:
     for k in "0123456789":
         kinds[k] = "digit"
     kinds["sifir bes"] = "spelled"
-    for k in ("mah", "mh", "sok", "sk", "cad", "cd", "bulvar", "blv", "meydan"):
+    for k in ("mah", "mh", "sok", "sk", "cad", "cd", "bulvar", "blv", "meydan", "yolu"):
         kinds[k] = "street"
+    for k in NAME_AFTER:
+        kinds[k] = "title"
     for k in NAME_BEFORE:
         kinds.setdefault(k, "cue")
     for k in FIRST_NAMES:
@@ -149,7 +183,7 @@ class Finder:
         for s in anchors.get("digit", ()):
             if s > last and (s == 0 or not low[s - 1].isdigit()):
                 last = max(last, self._number(low, s, out))
-        if "name" in anchors or "cue" in anchors:
+        if "name" in anchors or "cue" in anchors or "title" in anchors or any(k == "phone" for k, _, _ in out):
             self._names(text, low, out)
         out.sort(key=lambda x: (x[1], -x[2]))
         return out
@@ -216,6 +250,8 @@ class Finder:
                 s = self._street_start(text, low, m.start())
                 if s is None:
                     continue
+                if m.groupdict().get("w") == "yolu" and "no" not in low[m.end("w") : m.end()] and (not text[s].isupper() or text[m.start("w")].islower() or _UNIT.match(low, m.end())):
+                    continue  # a way that takes 15 minutes
                 spans.append((s, _ADDR_TAIL.match(low, m.end()).end()))
         out += [("street_address", s, e) for s, e in spans]
 
@@ -287,6 +323,7 @@ class Finder:
         gap = ["" if k == 0 else text[toks[k - 1][1] : toks[k][0]] for k in range(len(toks))]
         known = [w in FIRST_NAMES for w in word]
         n = len(toks)
+        phones = any(k == "phone" for k, _, _ in out)
         found: list[tuple[int, int]] = []
 
         def is_initial(k: int) -> bool:
@@ -295,6 +332,41 @@ class Finder:
         def namelike(k: int) -> bool:
             return k < n and cap[k] and len(word[k]) >= 3 and word[k] not in NO_NAME and word[k] not in NAME_AFTER and word[k] not in self.works
 
+        def shouted(k: int) -> bool:
+            return text[max(0, toks[k][0] - 60) : toks[k][1] + 60].isupper()
+
+        def person(k: int) -> bool:
+            """Can an unlisted word be a name, where something says that one stands here?"""
+            return namelike(k) and word[k] not in NO_PERSON and word[k] not in NAME_BEFORE
+
+        def announced(k: int, c: str) -> bool:
+            """Is the unlisted word ``k`` a name because of the cue before it?"""
+            if c not in NAMING or not person(k):
+                return False
+            named = c in ("adim", "ismim")
+            if "\n" in gap[k] and not re.search("[:=]", gap[k]) or "," in gap[k] and not named:
+                return False
+            if shouted(k):
+                return named and not re.match(r"\s*\w", text[toks[k][1] :])
+            return True
+
+        def titled(k: int) -> bool:
+            """Does a title follow the unlisted word ``k``?"""
+            if not person(k) or k + 1 >= n or gap[k + 1] not in (" ", "\xa0") or word[k + 1] not in NAME_AFTER or shouted(k):
+                return False
+            return word[k + 1] in ADDRESS_AFTER or not fresh(k)
+
+        def called(k: int) -> int | None:
+            """Last token of unlisted words from ``k`` on that a phone number follows."""
+            e = k
+            while phones and e < k + 3 and person(e):
+                if self._followed_by_number(low, toks[e][1]):
+                    return None if re.match(r"tel|num|gsm", word[e]) else e
+                if e + 1 >= n or gap[e + 1] not in (" ", "\xa0"):
+                    return None
+                e += 1
+            return None
+
         def cue(k: int) -> str | None:
             """The word that announces a name starting at token ``k``."""
             if k == 0 or not re.fullmatch(r"\s*[:=]?\s*|\s*,\s*", gap[k]) or "\n\n" in gap[k]:
@@ -334,7 +406,7 @@ class Finder:
                     title = e + 1 < n and word[e + 1] in NAME_AFTER and gap[e + 1] in (" ", "\xa0")
                     linked = bool(found) and bool(re.fullmatch(r"\s*,\s*|\s+(?:ve|ile)\s+", text[found[-1][1] : toks[k][0]]))
                     number = self._followed_by_number(low, toks[e][1])
-                    surname = e > given and cap[k]
+                    surname = e > given and cap[k] and not (word[k] in EVERYDAY and e == k + 1 and shouted(k))  # all capitals make any two words look so
                     middle = cap[k] and word[k] not in EVERYDAY and not fresh(k) and not text[max(0, toks[k][0] - 60) : toks[e][1] + 60].isupper()
                     pair = k + 2 < n and word[k + 1] in ("ile", "ve") and known[k + 2] and cap[k]
                     ok = bool(c) or title or linked or number or surname or middle or pair
@@ -347,10 +419,10 @@ class Finder:
                         while e + 1 < n and known[e + 1] and gap[e + 1] == " ":
                             e += 1
                         ok = True
-                    elif c in STRONG_BEFORE and c != "ben":
+                    elif c in STRONG_BEFORE and c != "ben" or announced(k, c):
                         while e + 1 < n and namelike(e + 1) and gap[e + 1] == " ":
                             e += 1
-                        ok = e > k
+                        ok = c in STRONG_BEFORE and e > k or announced(k, c)
                 elif c and known[k + 1]:
                     e = k + 1
                     ok = cap[k]
@@ -358,6 +430,10 @@ class Finder:
                 # "Surname, First" that nothing announces, followed by a number
                 e = k + 1
                 ok = self._followed_by_number(low, toks[e][1])
+            if not ok and not known[k] and titled(k):
+                e, ok = k, True
+            if not ok and not known[k] and (last := called(k)) is not None:
+                e, ok = last, True
             if ok:
                 found.append((toks[s][0], toks[e][1]))
                 k = e + 1
