@@ -27,6 +27,7 @@ def load(spark: SparkSession, path: str) -> DataFrame:
 
 def findings(df: DataFrame, which: str) -> DataFrame:
     out = rules.apply_rules(df, "record_key", rules.record_rules()).unionByName(rules.duplicate_ids(df, "record_key"))
+    out = out.unionByName(rules.apply_rules(df, "record_key", rules.rubric_schema_rules()))
     if which == "check":
         out = out.unionByName(rules.apply_rules(rules.verified_status(df), "record_key", rules.policy_rules()))
         out = out.unionByName(rules.leakage_findings(links.leakage(df)))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import blank, is_true, number_g
-from ..schemas import EVALUATION_SPLITS, HARD_CASE_TYPES, MODALITIES, NONTEXT_EVIDENCE, QUALITY_LEVELS, TOLERANCE, VERIFIED_STATUSES
+from ..schemas import EVALUATION_SPLITS, HARD_CASE_TYPES, MODALITIES, NONTEXT_EVIDENCE, PREDICTION_SCHEMA, QUALITY_LEVELS, RUBRIC_SCHEMA, TOLERANCE, VERIFIED_STATUSES
 
 
 @dataclass(frozen=True)
@@ -210,3 +210,93 @@ def type_findings(df: DataFrame, key: str, payload: str, paths: dict[str, str] |
         ok = got.isin("BIGINT", "DECIMAL", "DOUBLE") if want == "number" else got == want
         rules.append(Rule("wrong_type", "error", F.col("v").isNotNull() & ~F.coalesce(ok, F.lit(False)), F.concat(F.lit(f"{path} "), F.coalesce(got, F.lit("missing")))))
     return apply_rules(v, key, rules)
+
+
+# ---- JSON schemas compiled to columns ----------------------------------------------------
+_TAGS = {"string": ("STRING",), "number": ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), "boolean": ("BOOLEAN",), "array": ("ARRAY",), "object": ("OBJECT",)}
+_NO_ERRORS = "array<string>"
+
+
+def _none() -> Column:
+    return F.array().cast(_NO_ERRORS)
+
+
+def _error(when: Column, path: Column, what: str | Column) -> Column:
+    what = F.lit(what) if isinstance(what, str) else what
+    return F.when(when, F.array(F.concat(path, F.lit(": "), what))).otherwise(_none())
+
+
+def _join(path: Column, name: str | Column) -> Column:
+    return F.concat(path, F.lit("."), F.lit(name) if isinstance(name, str) else name)
+
+
+def schema_errors(value: Column, schema: dict, path: Column, variant: bool = False) -> Column:
+    """``array<string>`` of ``path: error`` for a typed column or a VARIANT.
+
+    Of a typed column a null stands for what is missing, and its type needs no check.
+    """
+    kind = schema.get("type") or ("string" if "enum" in schema else None)
+    get = (lambda t: F.try_variant_get(value, "$", t)) if variant else (lambda t: value)
+    tag = F.regexp_extract(F.schema_of_variant(value), "^([A-Z]+)", 1) if variant else None
+    right = tag.isin(*_TAGS[kind]) if variant else value.isNotNull()
+    parts: list[Column] = []
+    if kind == "string":
+        x = get("string")
+        if "minLength" in schema:
+            parts.append(_error(F.length(x) < schema["minLength"], path, f"shorter than {schema['minLength']}"))
+        if "enum" in schema:
+            parts.append(_error(~x.isin(*schema["enum"]), path, F.concat(F.lit("unknown value "), x)))
+    elif kind == "number":
+        x = get("double")
+        if "minimum" in schema:
+            parts.append(_error(x < schema["minimum"], path, f"less than {schema['minimum']}"))
+        if "exclusiveMinimum" in schema:
+            parts.append(_error(x <= schema["exclusiveMinimum"], path, f"not greater than {schema['exclusiveMinimum']}"))
+    elif kind == "array":
+        x = get("array<variant>")
+        if "minItems" in schema:
+            parts.append(_error(F.size(x) < schema["minItems"], path, f"fewer than {schema['minItems']} items"))
+        if schema.get("uniqueItems"):
+            same = F.transform(x, lambda e: F.to_json(e)) if variant else x
+            parts.append(_error(F.size(F.array_distinct(same)) < F.size(x), path, "repeated items"))
+        parts.append(F.flatten(F.transform(x, lambda e, i: schema_errors(e, schema["items"], _join(path, i.cast("string")), variant))))
+    elif kind == "object":
+        extra, named = schema.get("additionalProperties", True), schema.get("properties", {})
+        members = get("map<string,variant>")
+        for name, sub in named.items():
+            child = F.try_variant_get(value, f"$.{name}", "variant") if variant else value[name]
+            errors = schema_errors(child, sub, _join(path, name), variant)
+            if not variant:
+                parts.append(errors)  # a null is reported as missing by the child itself
+            elif name in schema.get("required", ()):
+                parts.append(F.when(child.isNull(), F.array(F.concat(_join(path, name), F.lit(": missing")))).otherwise(errors))
+            else:
+                parts.append(F.when(child.isNull(), _none()).otherwise(errors))
+        if "minProperties" in schema:
+            parts.append(_error(F.size(members) < schema["minProperties"], path, f"fewer than {schema['minProperties']} members"))
+        if isinstance(extra, dict):
+            parts.append(F.flatten(F.transform(F.map_entries(members), lambda e: schema_errors(e["value"], extra, _join(path, e["key"]), variant))))
+        elif extra is False and variant:
+            unknown = F.array_except(F.map_keys(members), F.array(*[F.lit(k) for k in named]))
+            parts.append(F.transform(F.array_sort(unknown), lambda k: F.concat(_join(path, k), F.lit(": unknown member"))))
+    inner = F.concat(*[F.coalesce(p, _none()) for p in parts]) if parts else _none()
+    wrong = F.when(value.isNull(), F.lit("missing")).otherwise(F.concat(F.lit("is "), F.lower(tag))) if variant else F.lit("missing")
+    return F.when(F.coalesce(right, F.lit(False)), inner).otherwise(F.array(F.concat(path, F.lit(": "), wrong)))
+
+
+def rubric_schema_rules() -> list[Rule]:
+    """Every error of a typed record's rubric against its JSON schema."""
+    return [Rule("schema", "error", F.lit(True), many=schema_errors(F.col("rubric"), RUBRIC_SCHEMA, F.lit("rubric")))]
+
+
+def prediction_schema_rules() -> list[Rule]:
+    """Every error of a typed prediction against its JSON schema."""
+    row = F.struct(*[F.col(c) for c in PREDICTION_SCHEMA["properties"]])
+    return [Rule("schema", "error", F.lit(True), many=schema_errors(row, PREDICTION_SCHEMA, F.lit("prediction")))]
+
+
+def raw_schema_findings(df: DataFrame, key: str, payload: str) -> DataFrame:
+    """Every error of the rubric in JSON text; unreadable text is left to ``type_findings``."""
+    v = df.select(key, F.try_parse_json(F.col(payload)).alias("v")).where(F.col("v").isNotNull())
+    v = v.select(key, F.try_variant_get("v", "$.rubric", "variant").alias("rubric"))
+    return apply_rules(v, key, [Rule("schema", "error", F.lit(True), many=schema_errors(F.col("rubric"), RUBRIC_SCHEMA, F.lit("rubric"), True))])

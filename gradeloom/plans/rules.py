@@ -53,7 +53,21 @@ def type_findings(spark, d):
     return rules.type_findings(table(spark, d, "raw_records"), "raw_id", "payload")
 
 
-QUERIES = {f.__name__: f for f in (rule_findings, rule_counts, rule_possible_pii, rule_duplicate_id, policy_findings, findings_union, finding_lines, type_findings)}
+def schema_findings(spark, d):
+    """Errors of the typed rubrics against the JSON schema."""
+    return rules.apply_rules(_records(spark, d), "record_key", rules.rubric_schema_rules())
+
+
+def schema_raw_findings(spark, d):
+    """The same of the payloads as delivered, with wrong types and unknown members."""
+    return rules.raw_schema_findings(table(spark, d, "raw_records"), "raw_id", "payload")
+
+
+def schema_prediction_findings(spark, d):
+    return rules.apply_rules(table(spark, d, "predictions"), "prediction_key", rules.prediction_schema_rules())
+
+
+QUERIES = {f.__name__: f for f in (rule_findings, rule_counts, rule_possible_pii, rule_duplicate_id, policy_findings, findings_union, finding_lines, type_findings, schema_findings, schema_raw_findings, schema_prediction_findings)}
 
 _SUM_C = "coalesce(list_sum(list_transform(list_filter(rubric.criteria, lambda x: x IS NOT NULL), lambda x: coalesce(x.max_score, 0))), 0)"
 _SUM_R = "coalesce(list_sum(list_transform(list_filter(gold_evaluation.criterion_results, lambda x: x IS NOT NULL), lambda x: coalesce(x.score, 0))), 0)"

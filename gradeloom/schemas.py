@@ -35,3 +35,24 @@ LINK_KEYS = ("task_id", "subject_group_id", "exam_family", "question_family")
 
 #: Scores within this distance are equal.
 TOLERANCE = 1e-9
+
+# The two JSON schemas of the data model.
+_TEXT = {"type": "string", "minLength": 1}
+_ANCHOR = {"type": "object", "additionalProperties": False, "required": ["score", "description"], "properties": {"score": {"type": "number", "minimum": 0}, "description": _TEXT}}
+EVIDENCE_SOURCES = ("response_text", "task_context", *NONTEXT_EVIDENCE)
+_CRITERION = {
+    "type": "object", "additionalProperties": False, "required": ["criterion_id", "name", "description", "max_score", "scoring_anchors", "evidence_sources"],
+    "properties": {
+        "criterion_id": _TEXT, "name": _TEXT, "description": _TEXT, "max_score": {"type": "number", "exclusiveMinimum": 0},
+        "scoring_anchors": {"type": "array", "minItems": 2, "items": _ANCHOR},
+        "evidence_sources": {"type": "array", "minItems": 1, "uniqueItems": True, "items": {"enum": list(EVIDENCE_SOURCES)}},
+    },
+}
+RUBRIC_SCHEMA = {
+    "type": "object", "additionalProperties": False, "required": ["rubric_id", "version", "criteria"],
+    "properties": {"rubric_id": _TEXT, "version": _TEXT, "criteria": {"type": "array", "minItems": 1, "items": _CRITERION}},
+}
+PREDICTION_SCHEMA = {
+    "type": "object", "additionalProperties": False, "required": ["id", "criterion_scores", "needs_review"],
+    "properties": {"id": _TEXT, "criterion_scores": {"type": "object", "minProperties": 1, "additionalProperties": {"type": "number", "minimum": 0}}, "needs_review": {"type": "boolean"}},
+}
