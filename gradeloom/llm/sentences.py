@@ -9,8 +9,8 @@ those of the script at hand: ``. ! ? …``, ``。！？``, ``।``, ``؟``, and
 between Thai letters.
 
 Two passes over the corpus: one counts (combined before the shuffle), one cuts.  Only
-tokens with at least ``1/MAX_TYPES`` of all full stops are kept from the counts, so
-the shared table has at most ``MAX_TYPES`` entries whatever the corpus.
+tokens that the counts judge to be abbreviations or titles are kept.  Up to ``MAX_TYPES``
+of them are broadcast; more are joined to the tokens of each document.
 """
 
 from __future__ import annotations
@@ -132,7 +132,7 @@ class Counts:
         depth_free = re.sub(r"[(“„«「][^)”“»」]*[)”“»」]", lambda m: " " * len(m.group()), text)
         stopped = Counter()
         small: set | None = None
-        for m in re.finditer(r"([^\W\d_]{1,6})\.(?!\.)([^\S\n]*\n?[^\S\n]*)(\S?)", depth_free):
+        for m in re.finditer(r"([^\W\d_]+)\.(?!\.)([^\S\n]*\n?[^\S\n]*)(\S?)", depth_free):
             w, ws, n = m.groups()
             if not ws or not n:
                 continue
@@ -456,8 +456,8 @@ class Splitter:
         return True
 
 
-def corpus_judgements(docs: DataFrame, text: str = "text") -> dict[str, str]:
-    """Tokens that the corpus shows to be abbreviations or titles; at most ``MAX_TYPES``."""
+def corpus_judgements(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``(w, j)``: tokens that the corpus shows to be abbreviations or titles, as ``judge`` does."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -470,19 +470,23 @@ def corpus_judgements(docs: DataFrame, text: str = "text") -> dict[str, str]:
 
     src = docs.select(F.col(text).alias("t")).where(F.length("t") > 0)
     parts = spread(src).mapInArrow(count, "w string, mid bigint, up bigint, bare bigint, title bigint")
-    total = materialize(parts.groupBy("w").agg(*[F.sum(x).alias(x) for x in ("mid", "up", "bare", "title")]), "stops")
-    seen = F.col("mid") + F.col("up")
-    # at most MAX_TYPES tokens can hold 1/MAX_TYPES of all stops each
-    stops = total.agg(F.sum(seen)).first()[0] or 0
-    kept = total.where((seen >= LEAST_COUNT) & (seen * MAX_TYPES >= F.lit(stops)))
-    kept = kept.where((F.col("mid") >= 0.3 * seen) & (F.col("bare") <= 0.25 * seen) | (F.col("title") >= 0.9 * seen) & (F.col("bare") <= 0.02 * seen))
-    out = {}
-    for r in kept.select("w", "mid", "up", "bare", "title").collect():
-        j = judge(r["mid"], r["up"], r["bare"], r["title"], LEAST_COUNT)
-        if j:
-            out[r["w"]] = j
-    release(total)
-    return out
+    total = parts.groupBy("w").agg(*[F.sum(x).alias(x) for x in ("mid", "up", "bare", "title")])
+    mid, bare, title, seen = F.col("mid"), F.col("bare"), F.col("title"), F.col("mid") + F.col("up")
+    abbr = (mid >= 0.3 * seen) & (bare <= 0.25 * seen)
+    name = (title >= 0.9 * seen) & (mid <= 0.02 * seen) & (bare <= 0.02 * seen)
+    j = F.when(abbr, "abbr").when(name, "title")
+    return materialize(total.where(seen >= LEAST_COUNT).select("w", j.alias("j")).where(F.col("j").isNotNull()), "stops")
+
+
+def _stopped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(row, w)``: each token of a text that stands before a full stop, as ``Splitter`` looks it up."""
+    for b in batches:
+        rows, ws = [], []
+        for r, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            own = {x.lower().replace("i̇", "i") for x in re.findall(r"([^\W\d_]+)\.", t)}
+            rows += [r] * len(own)
+            ws += own
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(ws, pa.string())], ["row", "w"])
 
 
 def sentence_units(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -492,13 +496,20 @@ def sentence_units(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     code points, the end is exclusive.  Null, empty and blank texts give no row; repeated
     documents are cut under each key; whole texts are read, however long.
     """
-    corpus = docs.sparkSession.sparkContext.broadcast(corpus_judgements(docs, text))
+    judged = corpus_judgements(docs, text)
+    src = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("t")).where(F.length("t") > 0)
+    known = judged.limit(MAX_TYPES + 1).collect()
+    many = len(known) > MAX_TYPES
+    corpus = docs.sparkSession.sparkContext.broadcast({} if many else {r["w"]: r["j"] for r in known})
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = Splitter(corpus.value)
         for b in batches:
             ids, a, e, no = [], [], [], []
-            for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            own = b.column(2).to_pylist() if many else None
+            for i, (d, t) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
+                if many:
+                    s.corpus = dict(own[i] or ())
                 for k, (x, y) in enumerate(s.units(t)):
                     ids.append(d)
                     a.append(x)
@@ -507,5 +518,13 @@ def sentence_units(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             if ids:
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(a, pa.int32()), pa.array(e, pa.int32()), pa.array(no, pa.int32())], ["doc_id", "start_char", "end_char", "unit_no"])
 
-    src = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("t")).where(F.length("t") > 0)
-    return spread(src).mapInArrow(cut, "doc_id bigint, start_char int, end_char int, unit_no int").withColumnRenamed("doc_id", key)
+    if many:
+        # rows, not documents, are what is joined: keys repeat
+        src = materialize(src.withColumn("row", F.monotonically_increasing_id()), "texts")
+        own = spread(src.select("row", "t")).mapInArrow(_stopped, "row bigint, w string").join(judged, "w")
+        own = own.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("w", "j"))).alias("own"))
+        src = src.join(own, "row", "left").select("doc_id", "t", "own")
+    else:
+        release(judged)
+        src = spread(src)
+    return src.mapInArrow(cut, "doc_id bigint, start_char int, end_char int, unit_no int").withColumnRenamed("doc_id", key)
