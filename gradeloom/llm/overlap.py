@@ -1,15 +1,17 @@
 """The same or nearly the same text on both sides of a split.
 
-Each distinct text (by its folded words) gets a similarity-hash bit fingerprint: 48
-minwise hashes over its word pairs, each with its number among equal ones, 16 bits of each, 768 bits in all (b-bit minwise
-hashing).  Two texts of which a quarter of the words differ still agree on a third of
-the hashes, while the Hamming distance of unrelated texts is near 384 bits.
-
-1. The fingerprint is cut into 24 blocks of 32 bits, and 8 blocks more are drawn beside it;
-   texts of the two sides that agree on a block are candidates.
-2. Candidates within the Hamming radius that their length allows go on.
-3. Word-level edit distance decides, first in the JVM over one code point per word, then
-   exactly over the words of the few that are left.
+Each distinct text (by its folded words) gets a similarity-hash bit fingerprint of 256
+bits: two bits of each of 128 minwise hashes over its words, every word with its number
+among equal ones (b-bit minwise hashing).  If at most a quarter of the longer text's words
+are inserted, removed or replaced, the two texts share at least 0.75 / 1.25 = 0.6 of all
+their words, at any length and wherever the changed words stand.  The fingerprints of such
+a pair differ in 51 bits on average, those of unrelated texts in about 110.
+
+1. The hashes are cut into 32 blocks of four, and the texts of the two sides that agree on
+   a block are candidates.  A pair at the limit agrees on one with probability
+   ``1 - (1 - 0.6 ** 4) ** 32 = 0.988``.
+2. Candidates within the Hamming radius of 78 bits (3.5 standard deviations above 51) go on.
+3. The word edit distance decides, exactly.
 
 Copies are one text with members, so a text on a third of all rows takes part once; only
 the pairs of rows that are the result are expanded, with the members of a hot text salted.
@@ -28,106 +30,95 @@ from pyspark.sql import functions as F
 from ..storage import materialize, spread
 from .words import WordHash, edit_distance, mix, words
 
-BLOCKS = 24
-#: More blocks, which find candidates but take no part in the Hamming distance.
-EXTRA = 8
+PER_BLOCK, BLOCKS = 4, 32
+HASHES = PER_BLOCK * BLOCKS
+RADIUS = 78
 MIN_WORDS = 8
 #: The text fields, and the splits of each side.
 FIELDS = ("student_response.text", "task.prompt", "task.context")
 TRAIN = ("train",)
 EVAL = ("validation", "test", "benchmark")
-#: Slack of the Hamming radius, three standard deviations of the estimate.
-SLACK_BITS = 90
 MEMBERS_PER_SALT = 2000
+SEED = 20240229
+#: Words whose hashes are held at a time.
+CHUNK_WORDS = 1 << 20
 
 
-
-def _draws(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _draws(seed: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(seed)
-    return rng.integers(1, 2**63, n, dtype=np.uint64) | np.uint64(1), rng.integers(0, 2**63, n, dtype=np.uint64)
+    return rng.integers(1, 2**63, HASHES, dtype=np.uint64) | np.uint64(1), rng.integers(0, 2**63, HASHES, dtype=np.uint64)
 
 
-# the two kinds of blocks are drawn apart
-_BASE, _MORE = _draws(20240229, 2 * BLOCKS), _draws(20240301, 2 * EXTRA)
-_MUL, _ADD = (np.concatenate(x) for x in zip(_BASE, _MORE))
+_MUL, _ADD = _draws(SEED)
 
-_SKETCH = "record_key bigint, eval boolean, field tinyint, cls binary, n int, fp array<int>, code string, words string"
+_ROWS = pa.schema([("record_key", pa.int64()), ("eval", pa.bool_()), ("field", pa.int8()), ("cls", pa.binary()), ("n", pa.int32()), ("words", pa.string())])
+_PRINT = [("bits", pa.list_(pa.int64())), ("blocks", pa.list_(pa.int32()))]
 
 
-def fingerprints(hashes: np.ndarray, starts: np.ndarray, first: int = 0, blocks: int = BLOCKS) -> np.ndarray:
-    """``(texts, blocks)`` int32 fingerprints of texts given as runs of word hashes (two words at least)."""
+def numbered(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Word hashes in which a word that comes again in its text is another word."""
     ends = np.concatenate([starts[1:], [len(hashes)]])
-    g = mix(hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + mix(hashes[1:]))
-    # a pair that comes again counts again, so that repetition keeps its weight
-    cross = ends[:-1] - 1
-    inner = np.delete(np.arange(len(g)), cross)
-    text = np.repeat(np.arange(len(starts)), ends - starts)[inner]
-    order = np.lexsort((g[inner], text))
-    run = inner[order]
-    new = np.ones(len(run), bool)
-    new[1:] = (g[run[1:]] != g[run[:-1]]) | (text[order][1:] != text[order][:-1])
-    first_of = np.maximum.accumulate(np.where(new, np.arange(len(run)), 0))
-    again = np.arange(len(run)) - first_of
-    more = run[again > 0]
+    text = np.repeat(np.arange(len(starts)), ends - starts)
+    order = np.lexsort((hashes, text))
+    h, t = hashes[order], text[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (t[1:] != t[:-1])
+    again = np.arange(len(h)) - np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
+    g = mix(hashes)
+    more = order[again > 0]
     g[more] = mix(g[more] + again[again > 0].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-    # the pair that would span two texts repeats the one before it
-    g[cross] = g[cross - 1]
-    out = np.empty((len(starts), 2 * blocks), np.uint32)
-    for j in range(2 * blocks):
-        v = ((g * _MUL[2 * first + j] + _ADD[2 * first + j]) >> np.uint64(20)).astype(np.uint32)
-        out[:, j] = np.minimum.reduceat(v, starts) & np.uint32(0xFFFF)
-    return (out[:, 0::2] | (out[:, 1::2] << np.uint32(16))).view(np.int32)
+    return g
 
 
-def _code(hashes: np.ndarray) -> str:
-    """One supplementary code point per word."""
-    return ((hashes >> np.uint64(44)).astype(np.uint32) + np.uint32(0x10000)).astype("<u4").tobytes().decode("utf-32-le")
+def fingerprints(hashes: np.ndarray, starts: np.ndarray, draws: tuple[np.ndarray, np.ndarray] = (_MUL, _ADD)) -> tuple[np.ndarray, np.ndarray]:
+    """``(texts, 4)`` int64 fingerprints and ``(texts, BLOCKS)`` int32 blocks of texts given as runs of word hashes."""
+    g = numbered(hashes, starts)
+    bits = np.zeros((len(starts), 2 * HASHES // 64), np.uint64)
+    blocks = np.zeros((len(starts), BLOCKS), np.uint64)
+    for j in range(HASHES):
+        v = np.minimum.reduceat((g * draws[0][j] + draws[1][j]) >> np.uint64(32), starts)
+        bits[:, j // 32] |= (v & np.uint64(3)) << np.uint64(2 * (j % 32))
+        blocks[:, j // PER_BLOCK] = mix(blocks[:, j // PER_BLOCK] * np.uint64(31) + v)
+    return bits.view(np.int64), (blocks >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    memo = WordHash()
-    schema = pa.schema([("record_key", pa.int64()), ("eval", pa.bool_()), ("field", pa.int8()), ("cls", pa.binary()), ("n", pa.int32()), ("fp", pa.list_(pa.int32())), ("code", pa.string()), ("words", pa.string())])
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The class and length of each text; its words with the first of a batch only."""
     for b in batches:
-        keys, side, field, texts = (b.column(i).to_pylist() for i in range(4))
         known: dict[str, tuple | None] = {}
-        rows, fresh = [], []
         done: set = set()
-        for k, s, f, t in zip(keys, side, field, texts):
+        rows = []
+        for k, s, f, t in zip(*(b.column(i).to_pylist() for i in range(4))):
             if t not in known:
                 w = words(t)
-                if len(w) < MIN_WORDS:
-                    known[t] = None
-                else:
-                    joined = " ".join(w)
-                    known[t] = (xxhash.xxh3_128_digest(joined), len(w), joined, w)
-            c = known[t]
-            if c is None:
-                continue
-            first = (f, c[0]) not in done
-            if first:
+                joined = " ".join(w)
+                known[t] = (xxhash.xxh3_128_digest(joined), len(w), joined) if len(w) >= MIN_WORDS else None
+            if c := known[t]:
+                rows.append((k, s, f, c[0], c[1], None if (f, c[0]) in done else c[2]))
                 done.add((f, c[0]))
-                fresh.append(c)
-            rows.append((k, s, f, c, first))
-        if not rows:
-            continue
-        fps, codes = [], []
-        if fresh:
-            lens = np.array([c[1] for c in fresh])
-            flat = np.fromiter((memo[w] for c in fresh for w in c[3]), np.uint64, int(lens.sum()))
-            starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
-            fps = np.hstack([fingerprints(flat, starts), fingerprints(flat, starts, BLOCKS, EXTRA)]).tolist()
-            codes = [_code(flat[s : s + n]) for s, n in zip(starts, lens)]
-        it = iter(zip(fps, codes))
-        fp_col, code_col, word_col = [], [], []
-        for r in rows:
-            x = next(it) if r[4] else (None, None)
-            fp_col.append(x[0])
-            code_col.append(x[1])
-            word_col.append(r[3][2] if r[4] else None)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows], pa.int8()), pa.array([r[3][0] for r in rows], pa.binary()), pa.array([r[3][1] for r in rows], pa.int32()), pa.array(fp_col, pa.list_(pa.int32())), pa.array(code_col, pa.string()), pa.array(word_col, pa.string())],
-            schema=schema,
-        )
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(v, x.type) for v, x in zip(zip(*rows), _ROWS)], schema=_ROWS)
+
+
+def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds fingerprint and blocks to texts."""
+    memo = WordHash()
+    for b in batches:
+        texts = [t.split(" ") for t in b.column("words").to_pylist()]
+        at, bits, blocks = 0, [], []
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end]) <= CHUNK_WORDS):
+                size += len(texts[end])
+                end += 1
+            lens = np.array([len(t) for t in texts[at:end]])
+            flat = np.fromiter((memo[w] for t in texts[at:end] for w in t), np.uint64, size)
+            x, y = fingerprints(flat, np.cumsum(lens) - lens)
+            bits += x.tolist()
+            blocks += y.tolist()
+            at = end
+        cols = [pa.array(v, t) for v, (_, t) in zip((bits, blocks), _PRINT)]
+        yield pa.RecordBatch.from_arrays([*b.columns, *cols], [*b.schema.names, *(n for n, _ in _PRINT)])
 
 
 def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,35 +145,28 @@ def near_pairs(records: DataFrame, key: str = "record_key", split: str = "metada
     texts = F.array(*[F.struct(F.lit(i).cast("tinyint").alias("f"), F.col(p).alias("t")) for i, p in enumerate(fields)])
     rows = records.select(F.col(key).cast("bigint").alias("record_key"), side.alias("eval"), F.explode(texts).alias("x"))
     rows = rows.where(F.col("eval").isNotNull() & (F.length("x.t") >= 2 * MIN_WORDS - 1)).select("record_key", "eval", "x.f", "x.t")
-    s = materialize(spread(rows).mapInArrow(_sketch, _SKETCH), "overlap-rows")
+    s = materialize(spread(rows).mapInArrow(_rows, "record_key bigint, eval boolean, field tinyint, cls binary, n int, words string"), "overlap-rows")
     classes = s.groupBy("field", "cls").agg(
         F.max("n").alias("n"),
         F.sum(F.when(F.col("eval"), 0).otherwise(1)).alias("n_train"),
         F.sum(F.when(F.col("eval"), 1).otherwise(0)).alias("n_eval"),
-        F.first("fp", ignorenulls=True).alias("fp"),
-        F.max("code").alias("code"),
         F.max("words").alias("words"),
     )
-    c = materialize(classes.withColumn("cid", F.monotonically_increasing_id()), "overlap-texts")
-    blocks = c.select("cid", "n", "n_train", "n_eval", (F.col("field").cast("int") * (BLOCKS + EXTRA)).alias("base"), F.posexplode("fp").alias("b", "v"))
-    blocks = blocks.select("cid", "n", "n_train", "n_eval", (F.col("base") + F.col("b")).cast("short").alias("b"), "v")
-    ev = blocks.where("n_eval > 0").select(F.col("cid").alias("x"), F.col("n").alias("nx"), "b", "v")
-    tr = blocks.where("n_train > 0").select(F.col("cid").alias("y"), F.col("n").alias("ny"), "b", "v")
+    known = "cid bigint, field tinyint, cls binary, n int, n_train bigint, n_eval bigint, words string"
+    classes = classes.withColumn("cid", F.monotonically_increasing_id()).select("cid", "field", "cls", "n", "n_train", "n_eval", "words")
+    c = materialize(classes.mapInArrow(_prints, known + ", bits array<bigint>, blocks array<int>"), "overlap-texts")
+    # field, block and value in one number
+    blocks = c.select("cid", "n", "n_train", "n_eval", (F.col("field").cast("bigint") * BLOCKS).alias("base"), F.posexplode("blocks").alias("b", "v"))
+    code = F.shiftleft(F.col("base") + F.col("b"), 32).bitwiseOR(F.col("v").cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)))
+    ev = blocks.where("n_eval > 0").select(code.alias("code"), F.col("cid").alias("x"), F.col("n").alias("nx"))
+    tr = blocks.where("n_train > 0").select(code.alias("code"), F.col("cid").alias("y"), F.col("n").alias("ny"))
     fits = F.abs(F.col("nx") - F.col("ny")) * 4 <= F.greatest("nx", "ny")
-    cand = ev.join(tr, ["b", "v"]).where((F.col("x") != F.col("y")) & fits).select("x", "y").distinct()
-    a = c.where("n_eval > 0").select(F.col("cid").alias("x"), F.col("n").alias("na"), F.col("fp").alias("fa"), F.col("code").alias("da"))
-    z = c.where("n_train > 0").select(F.col("cid").alias("y"), F.col("n").alias("nb"), F.col("fp").alias("fb"), F.col("code").alias("db"))
-    both = cand.join(a, "x").join(z, "y")
-    longer = F.greatest("na", "nb")
-    k = F.floor(longer / 4).cast("int")
-    # word pairs that survive k edits, of all that the two texts can have
-    kept = F.greatest(longer - 1 - 2 * k, F.lit(0))
-    radius = F.lit(384.0) * (1 - kept / (2 * (longer - 1) - kept)) + SLACK_BITS
-    # bit_count widens to 64 bits, so the sign bits are masked away
-    bits = F.aggregate(F.zip_with(F.slice("fa", 1, BLOCKS), F.slice("fb", 1, BLOCKS), lambda p, q: F.bit_count(p.bitwiseXOR(q).cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)))), F.lit(0), lambda t, v: t + v)
-    near = both.where(bits <= radius).withColumn("k", k)
-    # few are left: a small table by itself, so that the words are joined to its size
-    near = materialize(near.where(F.expr("levenshtein(da, db) <= k")).select("x", "y"), "overlap-near")
+    cand = ev.join(tr, "code").where((F.col("x") != F.col("y")) & fits).select("x", "y").distinct()
+    # fingerprints only: texts are fetched for the few pairs within the radius
+    a = c.where("n_eval > 0").select(F.col("cid").alias("x"), F.col("bits").alias("p"))
+    z = c.where("n_train > 0").select(F.col("cid").alias("y"), F.col("bits").alias("q"))
+    apart = F.aggregate(F.zip_with("p", "q", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, v: t + v)
+    near = materialize(cand.join(a, "x").join(z, "y").where(apart <= RADIUS).select("x", "y"), "overlap-near")
     wa = c.select(F.col("cid").alias("x"), "field", F.col("cls").alias("ca"), F.col("words").alias("wa"))
     wb = c.select(F.col("cid").alias("y"), F.col("cls").alias("cb"), F.col("words").alias("wb"), "n_train")
     near = near.join(wa, "x").join(wb, "y").select("field", "ca", "cb", "n_train", "wa", "wb")

@@ -47,8 +47,24 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _bits(at: list | tuple, size: int) -> int:
+    if len(at) < 64:
+        out = 0
+        for i in at:
+            out |= 1 << i
+        return out
+    raw = bytearray(size // 8 + 1)
+    for i in at:
+        raw[i >> 3] |= 1 << (i & 7)
+    return int.from_bytes(raw, "little")
+
+
 def edit_distance(a: list, b: list, limit: int) -> int:
-    """Words inserted, removed or replaced; anything above ``limit`` comes back as ``limit + 1``."""
+    """Words inserted, removed or replaced; anything above ``limit`` comes back as ``limit + 1``.
+
+    Bit-parallel: one column of the distance table is one integer, so long texts cost
+    their lengths' product over the machine word.
+    """
     if abs(len(a) - len(b)) > limit:
         return limit + 1
     lo = 0
@@ -58,22 +74,28 @@ def edit_distance(a: list, b: list, limit: int) -> int:
     while ea > lo and eb > lo and a[ea - 1] == b[eb - 1]:
         ea, eb = ea - 1, eb - 1
     a, b = a[lo:ea], b[lo:eb]
-    n, m = len(a), len(b)
-    big = limit + 1
-    prev = [j if j <= limit else big for j in range(m + 1)]
-    for i in range(1, n + 1):
-        cur = [big] * (m + 1)
-        if i <= limit:
-            cur[0] = i
-        x = a[i - 1]
-        for j in range(max(1, i - limit), min(m, i + limit) + 1):
-            c = prev[j - 1] + (x != b[j - 1])
-            if prev[j] + 1 < c:
-                c = prev[j] + 1
-            if cur[j - 1] + 1 < c:
-                c = cur[j - 1] + 1
-            cur[j] = c
-        if min(cur) > limit:
-            return big
-        prev = cur
-    return min(prev[m], big)
+    if not a or not b:
+        return min(len(a) + len(b), limit + 1)
+    where: dict = {}
+    for i, w in enumerate(a):
+        where.setdefault(w, []).append(i)
+    # only frequent words keep their integer, so that memory stays far below the square of the length
+    places = {w: _bits(at, len(a)) for w, at in where.items() if len(at) >= 64}
+    full, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
+    up, down, d = full, 0, len(a)
+    for j, w in enumerate(b):
+        eq = places.get(w) or _bits(where.get(w, ()), len(a))
+        diag = (((eq & up) + up) ^ up) | eq
+        plus = down | (~(diag | up) & full)
+        minus = up & diag
+        if plus & top:
+            d += 1
+        elif minus & top:
+            d -= 1
+        if d - (len(b) - 1 - j) > limit:
+            return limit + 1
+        plus, minus = ((plus << 1) | 1) & full, (minus << 1) & full
+        eq |= down
+        up = minus | (~(eq | plus) & full)
+        down = plus & eq
+    return min(d, limit + 1)
