@@ -1,16 +1,17 @@
 """Sentence boundaries across languages and scripts.
 
-Document-centred disambiguation.  Whether the token before a full stop is an
-abbreviation or an ordinary word, and whether a capital after it starts a sentence,
-is read first from unambiguous occurrences elsewhere in the same document (a stop
-followed by a small letter, the word without a stop), then from the same counts over
-the whole corpus, then from a short list of common abbreviations.  Terminators are
-those of the script at hand: ``. ! ? …``, ``。！？``, ``।``, ``؟``, and the space
-between Thai letters.
+Document-centred disambiguation.  What a full stop after a token means is read first from
+unambiguous occurrences elsewhere in the same document: a stop before a small letter or a
+digit, before a word that the document also writes small (so its capital opens a sentence)
+or never writes small (a proper name), at the end of a block, and the token without a
+stop.  Then from the same counts over the whole corpus.  Only for a token that neither
+knows a short list of common abbreviations serves as prior.  Terminators are those of the
+script at hand: ``. ! ? …``, ``。！？``, ``।``, ``؟``, and the space between Thai letters.
 
 Two passes over the corpus: one counts (combined before the shuffle), one cuts.  Only
-tokens that the counts judge to be abbreviations or titles are kept.  Up to ``MAX_TYPES``
-of them are broadcast; more are joined to the tokens of each document.
+tokens that the counts judge to be abbreviations, titles or references are kept, however
+rare the corpus makes them.  Up to ``MAX_TYPES`` of them are broadcast; more are joined to
+the tokens of each document, with the same result.
 """
 
 from __future__ import annotations
@@ -26,9 +27,12 @@ from pyspark.sql import functions as F
 from ..storage import materialize, release, spread
 
 MAX_TYPES = 100_000
-LEAST_COUNT = 5
+#: Occurrences before which the corpus or a document decides nothing.
+CORPUS_LEAST, OWN_LEAST = 5, 3
+#: Occurrences from which a token can be taken never to end a sentence though only names follow it, or it is written small.
+SURE = 20
 
-# Common abbreviations, in lower case, without the final stop.
+# Common abbreviations, in lower case, without the final stop.  A prior only.
 #: before a name or a quoted work: a stop after them never ends a sentence
 TITLES = frozenset(
     "dr prof doç yrd av arş gör öğr uzm sn alb bkz bk krş örn hz "  # tr
@@ -43,6 +47,7 @@ REFERENCES = frozenset("no nr nos vol p pp s ss sf c cilt bd kap abb fig art sec
 ENDERS = frozenset("vb vs vd etc usw usf ltd inc co corp jr sr şti yy yky approx dept est tel".split())
 #: with inner stops, never at the end
 NEVER = frozenset("i.e e.g z.b d.h u.a s.o m.ö m.s i.ö m.e vb.g พ.ศ ค.ศ".split())
+_LISTED = TITLES | REFERENCES | ENDERS | NEVER
 #: words that carry on a quotation
 REPORTING = frozenset("diye dedi der demiş sordu said asked cried replied wrote whispered rief sagte fragte schrieb meinte قال قالت يقول سأل صاح".split())
 #: words before an ordinal where nouns are written with a capital
@@ -61,7 +66,19 @@ _MARK = re.compile(r"[^\S\n]*(?:(?P<b>[-–—•*·‣▪◦●])[^\S\n]+|[(]?(
 _NUMBER = re.compile(r"[(]?[\d٠-٩०-९]+(?:[.,:/–-][\d٠-٩०-९]+)*$")
 _LEFT = set(" \t\n\r\xa0　([{“„«‹「『（\"‘*•")
 _WORD = re.compile(r"[^\W\d_]+")
-_BARE = re.compile(r"[^\W\d_]+(?![\w.])")
+#: letters with the vowel signs and marks that scripts put on them
+_LETTER = (
+    "[A-Za-zªµºÀ-ÖØ-öø-\u0605\u0610-\u061a\u0620-\u065f\u066e-\u06d3\u06d5-\u06ef\u06fa-\u0963\u0971-\u0e3a\u0e40-\u0e4e"
+    "\u0e80-\u1fff\u2c00-\u2dff\u3005-\u3007\u3031-\u3035\u3041-\u3096\u3099-\u30fa\u30fc-\u9fff\uac00-\ud7af\uf900-\ufaff\ufe70-\ufefc\U00010000-\U0001ffff]"
+)
+_FORM = re.compile(_LETTER + r"++\.?")
+_TOKEN = re.compile(rf"(?<![.\w])({_LETTER}++(?:\.{_LETTER}++)*+)\.(?![.\w])")
+_STOP = re.compile(_TOKEN.pattern + r"([^\S\n]*\n?[^\S\n]*)(\S?)")
+_STARTS = re.compile(r"[^.\W\d]{3}[.!?]\s+([^\W\d_])")
+_ASIDE = re.compile(r"[(“„«「][^)”“»」]*[)”“»」]")
+#: what is counted of a token: stop before a small letter or comma, a digit, a proper name, a capital that
+#: opens a sentence, a letter without case; at the end of a block; without stop; itself with a capital
+_COUNTED = ("mid", "num", "name", "up", "other", "last", "bare", "cap")
 
 
 def _kind(ch: str) -> str:
@@ -75,7 +92,7 @@ def _kind(ch: str) -> str:
     return "o" if ch.isalpha() else "p"
 
 
-def _token(text: str, low: int, i: int) -> str:
+def _run(text: str, low: int, i: int) -> str:
     """The run before position ``i``, back to white space or an opening mark."""
     j = i
     while j > low and text[j - 1] not in _LEFT and not text[j - 1].isspace():
@@ -119,54 +136,68 @@ def _pairs(text: str, a: int, b: int) -> list[tuple[int, int]]:
     return top
 
 
-class Counts:
-    """What a document or a corpus says about tokens before a full stop."""
+def small_form(w: str) -> str:
+    return w.lower().replace("i̇", "i")
 
-    def __init__(self) -> None:
-        self.mid: Counter = Counter()  # stop, then a small letter or a comma
-        self.up: Counter = Counter()  # stop, then a capital
-        self.bare: Counter = Counter()  # no stop
-        self.title: Counter = Counter()  # capitalised, stop, then a capital that no small letter elsewhere explains
 
-    def see(self, text: str) -> None:
-        depth_free = re.sub(r"[(“„«「][^)”“»」]*[)”“»」]", lambda m: " " * len(m.group()), text)
-        stopped = Counter()
-        small: set | None = None
-        for m in re.finditer(r"([^\W\d_]+)\.(?!\.)([^\S\n]*\n?[^\S\n]*)(\S?)", depth_free):
-            w, ws, n = m.groups()
-            if not ws or not n:
-                continue
-            if m.start() and (depth_free[m.start() - 1] == "." or depth_free[m.start() - 1].isalnum()):
-                continue
-            low = w.lower()
-            stopped[low] += 1
-            k = _kind(n)
-            if k == "l" or n in ",;":
-                self.mid[low] += 1
-            elif k == "u":
-                self.up[low] += 1
-                if w[0].isupper() and not w.isupper():
-                    if small is None:
-                        small = {x for x in _WORD.findall(text) if x.islower()}
-                    if _WORD.match(depth_free, m.start(3)).group().lower() not in small:
-                        self.title[low] += 1
-        if stopped:
-            words = Counter(x.lower() for x in _BARE.findall(text))
-            for w in stopped:
-                self.bare[w] += words.get(w, 0)
-
-    def rows(self) -> list[tuple]:
-        return [(w, self.mid[w], self.up[w], self.bare[w], self.title[w]) for w in set(self.mid) | set(self.up)]
-
-
-def judge(mid: int, up: int, bare: int, title: int, least: int) -> str | None:
-    """``title``, ``abbr`` or nothing for a token with these counts."""
-    n = mid + up
+def evidence(text: str) -> tuple[dict[str, list[int]], set[str]]:
+    """The counts ``_COUNTED`` of each token before a full stop, and the words written small."""
+    forms = Counter(_FORM.findall(text))
+    small = {x for x in forms if x.islower()}
+    out: dict[str, list[int]] = {}
+    # what a quotation or bracket says of its own stops is left out
+    free = _ASIDE.sub(lambda m: " " * len(m.group()), text)
+    for m in _STOP.finditer(free):
+        w, ws, n = m.groups()
+        low = small_form(w)
+        if n and not ws and n not in ",;":
+            continue
+        c = out.get(low)
+        if c is None:
+            c = out[low] = [0] * 8
+            for x in {low, w, w.capitalize()}:
+                c[6] += forms.get(x, 0)
+        if w[0].isupper() and (len(w) == 1 or not w.isupper()):
+            c[7] += 1
+        if not n:
+            c[5] += 1
+        elif n.islower() or n in ",;":
+            c[0] += 1
+        elif n.isdigit():
+            c[1] += 1
+        elif n.isupper() or n.istitle():
+            nxt = _WORD.match(free, m.start(3)).group()
+            x = nxt.lower()
+            c[3 if x in small or x + "." in small else 2] += 1
+        elif n.isalpha():
+            c[4] += 1
+    return out, small
+
+
+def judge(c: list[int], least: int) -> str | None:
+    """What the counts say of a token: ``title`` (a stop after it ends nothing), ``ref`` (nothing before a
+    digit), ``abbr`` (it may end a sentence), ``word`` (an ordinary word) or nothing."""
+    mid, num, name, up, other, last, bare, cap = c
+    n = mid + num + name + up + other
+    ends = up + last
     if n < least:
         return None
-    if mid >= 0.3 * n and bare <= 0.25 * n:
+    if num >= 0.8 * n and ends <= 0.1 * n:
+        return "ref"
+    if bare > 0.25 * n:
+        return "word"
+    if ends <= 0.02 * n and (n >= SURE or mid + num and cap >= 0.9 * n) and (mid + num >= 0.95 * n or mid + num + name >= 0.98 * n and cap >= 0.9 * n):
+        return "title"
+    if mid >= 0.3 * n:
         return "abbr"
-    if title >= 0.9 * n and mid <= 0.02 * n and bare <= 0.02 * n:
+    return None
+
+
+def judge_caseless(w: str, c: list[int]) -> str | None:
+    """Short tokens of scripts without case that always carry a stop and never end a block."""
+    mid, num, name, up, other, last, bare, _ = c
+    n = mid + num + name + up + other
+    if n >= CORPUS_LEAST and len(w) <= 4 and other + num >= 0.9 * n and last <= 0.02 * n and bare <= 0.02 * n:
         return "title"
     return None
 
@@ -181,12 +212,15 @@ class Splitter:
         """``(start, end)`` of each unit in code points, in order."""
         if not text or text.isspace():
             return []
-        own = Counts()
-        own.see(text)
-        self.own = {w: j for w, m, u, b, t in own.rows() if (j := judge(m, u, b, t, 3))}
-        self.own_bare = {w for w, n in own.bare.items() if n >= 2}
-        self.doc_small = {x for x in _WORD.findall(text) if x.islower()}
-        starts = re.findall(r"[^.\W\d]{3}[.!?]\s+([^\W\d_])", text)
+        self.own, self.own_bare, self._small_words = {}, set(), None
+        stopped = Counter(small_form(w) for w in _TOKEN.findall(text))
+        # a document that has no token often enough, and none that others know, has nothing to say
+        if stopped and (max(stopped.values()) >= OWN_LEAST or not _LISTED.isdisjoint(stopped) or not self.corpus.keys().isdisjoint(stopped)):
+            seen, self._small_words = evidence(text)
+            self.own = {w: j for w, c in seen.items() if (j := judge(c, OWN_LEAST))}
+            self.own_bare = {w for w, c in seen.items() if c[6] >= 2 and not c[0] and not c[1]}
+        self._text = text
+        starts = _STARTS.findall(text)
         cased = [c for c in starts if c.isupper() or c.islower()]
         self.small = len(cased) >= 3 and sum(c.isupper() for c in cased) < 0.1 * len(cased)
         out: list[tuple[int, int]] = []
@@ -197,6 +231,13 @@ class Splitter:
         self._block(text, at, len(text), out)
         return out
 
+    @property
+    def doc_small(self) -> set[str]:
+        """Words that the document writes small."""
+        if self._small_words is None:
+            self._small_words = {x for x in _FORM.findall(self._text) if x.islower()}
+        return self._small_words
+
     def _block(self, text: str, a: int, b: int, out: list) -> None:
         if a >= b or text[a:b].isspace():
             return
@@ -351,26 +392,21 @@ class Splitter:
         return alone or "\n" in text[end:n]
 
     def _class(self, token: str) -> str | None:
-        """What is known of a token before a full stop."""
-        t = token.lower().replace("i̇", "i")
-        if t in NEVER:
-            return "title"
-        if "." in t:
-            return "dotted"
-        if t in TITLES:
-            return "title"
-        if t in REFERENCES:
-            return "ref"
-        if t in ENDERS:
-            return "abbr"
+        """What is known of a token before a full stop: by its form, the document, the corpus, the lists."""
+        t = small_form(token)
         if len(t) == 1 and t.isalpha():
             return "title"
-        own = self.own.get(t)
-        if own:
-            return own
-        known = self.corpus.get(t)
-        # a word that this document also uses without a stop is no abbreviation here
-        return None if known and t in self.own_bare else known
+        known = self.own.get(t)
+        if known is None and t not in self.own_bare:
+            # a word that this document also uses without a stop is no abbreviation here
+            known = self.corpus.get(t)
+        if known is None and t not in self.own_bare:
+            known = "title" if t in TITLES or t in NEVER else "abbr" if t in ENDERS else None
+        if known is None and t in REFERENCES:
+            known = "ref"
+        if known and known != "word":
+            return known
+        return "dotted" if "." in t else None
 
     def _ends(self, text: str, start: int, i: int, end: int, b: int, term: str) -> bool:
         n, kind, opens = self._next(text, end, b)
@@ -405,7 +441,7 @@ class Splitter:
                 return self.small and gap and line
             return gap and (line or kind == "p")
         # a single full stop
-        token = _token(text, start, i)
+        token = _run(text, start, i)
         prev = text[i - 1] if i > start else " "
         if not gap:
             if kind == "u" and end + 1 < b and not opens:
@@ -457,25 +493,35 @@ class Splitter:
 
 
 def corpus_judgements(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``(w, j)``: tokens that the corpus shows to be abbreviations or titles, as ``judge`` does."""
+    """``(w, j)``: tokens that the corpus shows to be abbreviations, titles or references, as ``judge`` does."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            c = Counts()
+            total: dict[str, list[int]] = {}
             for t in b.column(0).to_pylist():
-                c.see(t)
-            rows = c.rows()
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ["w", "mid", "up", "bare", "title"])
+                for w, c in evidence(t)[0].items():
+                    had = total.get(w)
+                    total[w] = c if had is None else [x + y for x, y in zip(had, c)]
+            if total:
+                yield pa.RecordBatch.from_arrays([pa.array(list(total)), *(pa.array(x, pa.int64()) for x in zip(*total.values()))], ["w", *_COUNTED])
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ws, js = [], []
+            for w, *c in zip(*(x.to_pylist() for x in b.columns)):
+                j = judge(c, CORPUS_LEAST) or judge_caseless(w, c)
+                if j and j != "word":
+                    ws.append(w)
+                    js.append(j)
+            yield pa.RecordBatch.from_arrays([pa.array(ws, pa.string()), pa.array(js, pa.string())], ["w", "j"])
 
     src = docs.select(F.col(text).alias("t")).where(F.length("t") > 0)
-    parts = spread(src).mapInArrow(count, "w string, mid bigint, up bigint, bare bigint, title bigint")
-    total = parts.groupBy("w").agg(*[F.sum(x).alias(x) for x in ("mid", "up", "bare", "title")])
-    mid, bare, title, seen = F.col("mid"), F.col("bare"), F.col("title"), F.col("mid") + F.col("up")
-    abbr = (mid >= 0.3 * seen) & (bare <= 0.25 * seen)
-    name = (title >= 0.9 * seen) & (mid <= 0.02 * seen) & (bare <= 0.02 * seen)
-    j = F.when(abbr, "abbr").when(name, "title")
-    return materialize(total.where(seen >= LEAST_COUNT).select("w", j.alias("j")).where(F.col("j").isNotNull()), "stops")
+    parts = spread(src).mapInArrow(count, "w string, " + ", ".join(f"{x} bigint" for x in _COUNTED))
+    total = parts.groupBy("w").agg(*[F.sum(x).alias(x) for x in _COUNTED])
+    # ordinary words are most of the tokens and are left in the JVM
+    n = F.col("mid") + F.col("num") + F.col("name") + F.col("up") + F.col("other")
+    known = total.where((n >= CORPUS_LEAST) & ((F.col("bare") <= 0.25 * n) | (F.col("num") >= 0.8 * n)))
+    return materialize(known.mapInArrow(decide, "w string, j string"), "stops")
 
 
 def _stopped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -483,7 +529,7 @@ def _stopped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows, ws = [], []
         for r, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            own = {x.lower().replace("i̇", "i") for x in re.findall(r"([^\W\d_]+)\.", t)}
+            own = {small_form(x) for x in _TOKEN.findall(t)}
             rows += [r] * len(own)
             ws += own
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(ws, pa.string())], ["row", "w"])
