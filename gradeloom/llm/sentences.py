@@ -60,7 +60,10 @@ _CJK_END = "。！？｡"
 _TERM = r"[.!?…。！？｡।॥؟۔]+"
 _PAIRS = {"“": "”", "«": "»", "‹": "›", "「": "」", "『": "』", "(": ")", "[": "]", "（": "）", "【": "】", "《": "》", "„": "“", "‘": "’", "‚": "‘"}
 _CLOSERS = set("”»›」』)]）】》’\"'")
-_EVENT = re.compile(r"(?P<t>" + _TERM + r")|(?P<q>[“”«»‹›「」『』()\[\]（）【】《》„‘’‚\"])|(?P<th>(?<=[ก-ฺเ-๎])\s+(?=[ก-ฺเ-๎]))")
+_PLAIN = r"(?P<t>" + _TERM + r")|(?P<q>[“”«»‹›「」『』()\[\]（）【】《》„‘’‚\"])"
+_EVENT = re.compile(_PLAIN)
+_THAI = re.compile("[ก-๎]")
+_EVENT_THAI = re.compile(_PLAIN + r"|(?P<th>(?<=[ก-ฺเ-๎])\s+(?=[ก-ฺเ-๎]))")
 _EMPTY = re.compile(r"(?:\r?\n|\u2029)[^\S\n]*(?:(?:\r?\n|\u2029)[^\S\n]*)+|\u2029")
 _MARK = re.compile(r"[^\S\n]*(?:(?P<b>[-–—•*·‣▪◦●])[^\S\n]+|[(]?(?P<n>\d{1,3}|[a-zA-Zçğıöşü])(?P<c>[.)])[^\S\n]+)(?=\S)")
 _NUMBER = re.compile(r"[(]?[\d٠-٩०-९]+(?:[.,:/–-][\d٠-٩०-९]+)*$")
@@ -100,15 +103,13 @@ def _run(text: str, low: int, i: int) -> str:
     return text[j:i]
 
 
-def _pairs(text: str, a: int, b: int) -> list[tuple[int, int]]:
-    """Outermost matched quotes and brackets of a segment as ``(open, close)``."""
+def _pairs(text: str, a: int, b: int, marks: list[re.Match]) -> list[tuple[int, int]]:
+    """Outermost matched quotes and brackets of a segment as ``(open, close)``; ``marks`` are its events."""
     stack: list[tuple[str, int]] = []
     out: list[tuple[int, int]] = []
     straight = text.count('"', a, b) // 2 * 2
-    for m in _EVENT.finditer(text, a, b):
-        ch = m.group("q")
-        if not ch:
-            continue
+    for m in marks:
+        ch = m["q"]
         at = m.start()
         if ch == '"':
             if straight <= 0:
@@ -220,6 +221,7 @@ class Splitter:
             self.own = {w: j for w, c in seen.items() if (j := judge(c, OWN_LEAST))}
             self.own_bare = {w for w, c in seen.items() if c[6] >= 2 and not c[0] and not c[1]}
         self._text = text
+        self.event = _EVENT_THAI if _THAI.search(text) else _EVENT
         starts = _STARTS.findall(text)
         cased = [c for c in starts if c.isupper() or c.islower()]
         self.small = len(cased) >= 3 and sum(c.isupper() for c in cased) < 0.1 * len(cased)
@@ -300,17 +302,19 @@ class Splitter:
         return int(m.group("n")) if m and m.group("n") and m.group("n").isdigit() else None
 
     def _segment(self, text: str, a: int, b: int, body: int, out: list) -> None:
-        pairs = _pairs(text, body, b)
+        events = list(self.event.finditer(text, body, b))
+        marks = [m for m in events if m.lastgroup == "q"]
+        pairs = _pairs(text, body, b, marks) if marks else []
         p = 0
         start = a
-        for m in _EVENT.finditer(text, body, b):
+        for m in events:
             i, j = m.span()
-            if i < start or m.group("q"):
+            if i < start or m.lastgroup == "q":
                 continue
             while p < len(pairs) and pairs[p][1] < i:
                 p += 1
             inside = pairs[p] if p < len(pairs) and pairs[p][0] < i < pairs[p][1] else None
-            if m.group("th"):
+            if m.lastgroup == "th":
                 if inside is None:
                     self._put(text, start, i, out)
                     start = j
