@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import materialize, release
-from .skew import LEAST_ROWS, hot_keys, join_unique
+from .skew import hot_keys, join_unique, least_rows
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
@@ -38,7 +38,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         # one entry for each end of each edge, pre-aggregated before the shuffle
         ends = e.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("x")).select("x.*")
         hook = ends.groupBy("u").agg(F.least("u", F.min("v")).alias("p"), F.count("*").alias("deg")).select("u", "p", "deg")
-        if 2 * n >= LEAST_ROWS:
+        if 2 * n >= least_rows(e.sparkSession):
             hook = materialize(hook, "cc-hook")
         hot = hot_keys(hook, "u", "deg", 2 * n)
         up = hook.select(F.col("u").alias("p"), F.col("p").alias("g"))

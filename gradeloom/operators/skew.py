@@ -7,18 +7,23 @@ brought to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HOT_SHARE = 64
 SALTS = 32
-#: Below this many rows a single task carries even the hottest key with ease.
+#: Below this many rows a single task carries even the hottest key with ease.  The session
+#: setting ``gradeloom.skew.leastRows`` overrides it; the result is the same at any value.
 LEAST_ROWS = 2_000_000
 
 
+def least_rows(spark: SparkSession) -> int:
+    return int(spark.conf.get("gradeloom.skew.leastRows", str(LEAST_ROWS)))
+
+
 def hot_keys(counts: DataFrame, key: str, count: str, total: int) -> list:
     """Keys with more than ``total / HOT_SHARE`` rows; at most ``HOT_SHARE`` values."""
-    if total < LEAST_ROWS:
+    if total < least_rows(counts.sparkSession):
         return []
     return [r[0] for r in counts.where(F.col(count) > F.lit(total / HOT_SHARE)).select(key).collect()]
 

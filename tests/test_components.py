@@ -45,7 +45,6 @@ def test_chain_star_nulls_and_empty(spark):
 
 def test_hot_vertices_are_salted(spark, monkeypatch):
     monkeypatch.setattr(skew, "LEAST_ROWS", 1)
-    monkeypatch.setattr(components, "LEAST_ROWS", 1)
     edges = [("hub", f"v{i}") for i in range(200)] + [(f"v{i}", f"w{i}") for i in range(0, 200, 7)]
     assert run(spark, edges) == naive(edges)
 
