@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..plans.tables import table
-from ..storage import shared_dir
+from ..storage import materialize, shared_dir
 from . import leakage, overlap, packing, pii, sampling, sentences, splits
 
 
@@ -35,18 +35,46 @@ def p1_shares(spark, d):
     return t.join(got, "split", "left").select("split", "target_share", n.alias("n_rows"), (n / whole).alias("share"))
 
 
-def p1_two_deliveries(spark, d):
-    """The table built in two deliveries, cut at the median arrival: all records by split and status."""
+def _two_deliveries(spark, d):
+    """All records after two deliveries cut at the median arrival, with what the first one gave to its own."""
     records, targets = table(spark, d, "records"), table(spark, d, "split_targets")
     at = F.unix_micros(F.col("ingested_at").cast("timestamp"))
     middle = records.agg(F.percentile_approx(at, 0.5)).first()[0] or 0
     early = F.coalesce(at <= middle, F.lit(False))
     st = splits.fold(records.where(early), "record_key")
-    done = splits.assign(records.where(early), "record_key", targets, st)
-    state = splits.save_state(st, done, f"{shared_dir(spark)}/gradeloom/state-{uuid.uuid4().hex}")
+    done = materialize(splits.assign(records.where(early), "record_key", targets, st), "first-delivery")
+    state = splits.save_state(st, f"{shared_dir(spark)}/gradeloom/state-{uuid.uuid4().hex}")
     st2 = splits.fold(records.where(~early), "record_key", state)
     out = splits.assign(records, "record_key", targets, st2)
-    return out.groupBy("split", "status").agg(F.count_distinct("component").alias("components"), F.count("*").alias("n_rows"))
+    return out.join(done.select("record_key", F.col("split").alias("first_split")), "record_key", "left")
+
+
+def p1_two_deliveries(spark, d):
+    """The table built in two deliveries: all records by split and status."""
+    return _two_deliveries(spark, d).groupBy("split", "status").agg(F.count_distinct("component").alias("components"), F.count("*").alias("n_rows"))
+
+
+def _held(out, extra):
+    """Counts of what must hold of an assignment, one row each."""
+    parts = out.groupBy("component").agg(F.count_distinct("split").alias("s"), F.count("*").alias("n"))
+    whole = parts.agg(F.sum("n").alias("rows"), F.sum((F.col("s") > 1).cast("int")).alias("torn"))
+    sums = out.agg(F.sum((F.col("split").isNull() & (F.col("status") != "quarantined")).cast("int")).alias("lost"), *extra)
+    names = ["rows", "torn", "lost", *(f"extra{i}" for i in range(len(extra)))]
+    labels = ["records", "components in two splits", "records without a split", "unquarantined records that moved"][: len(names)]
+    pairs = F.array(*[F.struct(F.lit(x).alias("fact"), F.coalesce(F.col(n).cast("bigint"), F.lit(0)).alias("n")) for x, n in zip(labels, names)])
+    return whole.crossJoin(sums).select(F.explode(pairs).alias("p")).select("p.fact", "p.n")  # one row by one row
+
+
+def p1_invariants(spark, d):
+    """Facts of the assignment that must hold whatever components went where."""
+    return _held(p1_assignment(spark, d).withColumn("status", F.lit("assigned")), [])
+
+
+def p1_delivery_invariants(spark, d):
+    """The same after two deliveries, and that no record outside quarantine changed its split."""
+    out = materialize(_two_deliveries(spark, d), "two-deliveries")
+    moved = F.col("first_split").isNotNull() & (F.col("status") != "quarantined") & ~F.col("split").eqNullSafe(F.col("first_split"))
+    return _held(out, [F.sum(moved.cast("int")).alias("extra0")])
 
 
 # ---- 2: the same text across splits -------------------------------------------------
@@ -136,7 +164,7 @@ def p8_lengths(spark, d):
     return units.join(docs, "doc_id").groupBy("lang").agg(F.count("*").alias("n_units"), F.count_distinct("doc_id").alias("n_docs"), F.sum(size).alias("n_chars"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_assignment, p1_shares, p1_two_deliveries, p2_found, p2_report, p3_found, p3_report, p3_sample, p5_found, p5_redacted, p6_found, p6_pieces, p6_fill, p7_found, p7_items, p8_found, p8_lengths)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_assignment, p1_shares, p1_two_deliveries, p1_invariants, p1_delivery_invariants, p2_found, p2_report, p3_found, p3_report, p3_sample, p5_found, p5_redacted, p6_found, p6_pieces, p6_fill, p7_found, p7_items, p8_found, p8_lengths)}
 
 _NORM3 = "replace(regexp_replace(lower(regexp_replace({0}, '^\\s+|\\s+$', '', 'g')), '\\s', '_', 'g'), '-', '_')"
 _P3 = f"""
@@ -172,6 +200,9 @@ reach AS (SELECT DISTINCT a AS node, a AS lab FROM both_ UNION SELECT b.b, r.lab
 lab AS (SELECT node, min(lab) AS lab FROM reach GROUP BY node)
 SELECT s.record_key, lab.lab AS group_key FROM star s JOIN lab ON lab.node = s.a
 """,
+    "p1_invariants": """SELECT 'records' AS fact, count(*) AS n FROM records UNION ALL SELECT 'components in two splits', 0 UNION ALL SELECT 'records without a split', 0""",
+    "p1_delivery_invariants": """SELECT 'records' AS fact, count(*) AS n FROM records UNION ALL SELECT 'components in two splits', 0 UNION ALL SELECT 'records without a split', 0
+UNION ALL SELECT 'unquarantined records that moved', 0""",
     "p3_found": _P3 + "SELECT t.plan_id, t.category FROM t LEFT JOIN c ON c.field = t.field AND c.v = t.category WHERE coalesce(c.n, 0) < t.need",
     "p3_report": _P3 + """SELECT t.plan_id, t.field, t.category, t.target_share, t.sample_size, t.need, CAST(coalesce(c.n, 0) AS BIGINT) AS available, coalesce(c.n, 0) < t.need AS short
 FROM t LEFT JOIN c ON c.field = t.field AND c.v = t.category""",

@@ -60,7 +60,7 @@ def test_deliveries_keep_splits_and_quarantine_conflicts(spark, tmp_path):
     st1 = splits.fold(first, "record_key")
     done = splits.assign(first, "record_key", targets(spark), st1)
     before = {r.component: r.split for r in done.collect()}
-    state = splits.save_state(st1, done, str(tmp_path / "state"))
+    state = splits.save_state(st1, str(tmp_path / "state"))
     by_split = {}
     for c, s in sorted(before.items()):
         by_split.setdefault(s, []).append(c.split("=")[1])
@@ -76,11 +76,72 @@ def test_deliveries_keep_splits_and_quarantine_conflicts(spark, tmp_path):
     untouched = {r.value: (r.component, r.split) for r in st2.table.collect()}
     assert untouched[f"task_id={by_split['train'][5]}"] == (f"task_id={by_split['train'][5]}", "train")
     # a quarantined component stays so
-    state2 = splits.save_state(st2, splits.assign(second, "record_key", targets(spark), st2), str(tmp_path / "state2"))
+    state2 = splits.save_state(st2, str(tmp_path / "state2"))
     st3 = splits.fold(frame(spark, [one(200, a, None)]), "record_key", state2)
     assert [r.status for r in splits.components_of(frame(spark, [one(200, a, None)]), "record_key", st3).collect()] == ["quarantined"]
 
 
+def test_unlinked_records_keep_their_split(spark, tmp_path):
+    lone = lambda k: record(k, task__task_id=None, metadata__subject_group_id="-", metadata__exam_family="yok", metadata__question_family="")
+    tied = lambda k: record(k, task__task_id=f"t{k}", metadata__subject_group_id=None, metadata__exam_family=None, metadata__question_family=None)
+    path = str(tmp_path / "state")
+    first = frame(spark, [lone(i) for i in range(60)] + [tied(100 + i) for i in range(60)])
+    st1 = splits.fold(first, "record_key")
+    before = {r.record_key: r.split for r in splits.assign(first, "record_key", targets(spark), st1).collect()}
+    state = splits.save_state(st1, path)
+    second = frame(spark, [lone(1000 + i) for i in range(120)])
+    st2 = splits.fold(second, "record_key", state)
+    # deficits come from the table: the second delivery alone is passed in
+    new = {r.record_key: r.split for r in splits.assign(second, "record_key", targets(spark), st2).collect()}
+    state = splits.save_state(st2, path)
+    assert spark.read.parquet(f"{path}/version=1").count() == 120  # only what changed
+    assert state.agg(F.sum("n_rows")).first()[0] == 240
+    n = {s: sum(x == s for x in [*before.values(), *new.values()]) for s, _ in TARGETS}
+    assert abs(n["train"] - 192) <= 5 and abs(n["test"] - 24) <= 5
+    st3 = splits.fold(first, "record_key", state)
+    after = {r.record_key: r.split for r in splits.assign(first, "record_key", targets(spark), st3).collect()}
+    assert after == before
+    assert {tuple(r) for r in splits.compact_state(spark, path, str(tmp_path / "one")).collect()} == {tuple(r) for r in state.collect()}
+
+
+def test_quarantine_keeps_its_parts_and_is_resolved(spark, tmp_path):
+    one = lambda k, t, s: record(k, task__task_id=t, metadata__subject_group_id=s, metadata__exam_family=None, metadata__question_family=None)
+    path = str(tmp_path / "state")
+    first = frame(spark, [one(i, f"t{i:02d}", None) for i in range(30)])
+    st1 = splits.fold(first, "record_key")
+    split = {r.component: r.split for r in splits.assign(first, "record_key", targets(spark), st1).collect()}
+    state = splits.save_state(st1, path)
+    a = next(c for c, s in sorted(split.items()) if s == "train")
+    b = next(c for c, s in sorted(split.items()) if s == "test")
+    second = frame(spark, [one(50, a.split("=")[1], "x"), one(51, b.split("=")[1], "x")])
+    st2 = splits.fold(second, "record_key", state)
+    splits.assign(second, "record_key", targets(spark), st2)
+    state = splits.save_state(st2, path)
+    parts = {(r.part, r.split) for r in splits.conflicts(state).where("split is not null").collect()}
+    assert parts == {(a, "train"), (b, "test")}
+    root = splits.conflicts(state).first().component
+    state = splits.resolve(state, spark.createDataFrame([(root, "test"), ("other", "train"), (None, "x")], "component string, split string"), path)
+    st3 = splits.fold(second, "record_key", state)
+    got = splits.assign(second, "record_key", targets(spark), st3).collect()
+    assert {(r.split, r.status) for r in got} == {("test", "assigned")}
+    assert splits.conflicts(state).count() == 0
+
+
+def test_hot_values_salted(spark, tmp_path):
+    rows = [record(i, task__task_id=f"t{i % 7}" if i % 2 else None, metadata__subject_group_id=f"s{i}", metadata__exam_family="big" if i % 3 == 0 else None, metadata__question_family=None) for i in range(90)]
+    df = frame(spark, rows)
+    spark.conf.set("gradeloom.skew.leastRows", "0")
+    try:
+        st1 = splits.fold(df, "record_key")
+        assert st1.hot
+        assert {r.record_key: r.component for r in splits.components_of(df, "record_key", st1).collect()} == brute(rows)
+        splits.assign(df, "record_key", targets(spark), st1)
+        st2 = splits.fold(df, "record_key", splits.save_state(st1, str(tmp_path / "state")))
+        assert {r.record_key: r.component for r in splits.components_of(df, "record_key", st2).collect()} == brute(rows)
+    finally:
+        spark.conf.unset("gradeloom.skew.leastRows")
+
+
 def test_empty_and_bad_targets(spark):
     df = frame(spark, [])
     st_ = splits.fold(df, "record_key")
