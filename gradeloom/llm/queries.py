@@ -113,6 +113,22 @@ def p3_sample(spark, d):
     return sampling.draw(res, plans)
 
 
+def p3_quotas(spark, d):
+    """Quota and achieved share of each target row."""
+    plans, res = _plans(spark, d)
+    return sampling.quotas(res, plans).drop("norm")
+
+
+def p3_totals(spark, d):
+    """Records drawn for each plan, and categories drawn below what their minimum and stock allow or beyond the stock."""
+    plans, res = _plans(spark, d)
+    q = sampling.quotas(res, plans)
+    n = sampling.draw(res, plans).groupBy("plan_id", "field", "category").agg(F.count("*").alias("drawn"), F.count_distinct("record_key").alias("different"))
+    both = q.join(n, ["plan_id", "field", "category"], "left").withColumn("drawn", F.coalesce("drawn", F.lit(0)))
+    bad = (F.col("drawn") < F.least(F.coalesce("min_count", F.lit(0)), "available")) | (F.col("drawn") > F.col("available")) | (F.col("drawn") != F.coalesce("different", F.lit(0)))
+    return both.groupBy("plan_id").agg(F.sum("drawn").alias("n_drawn"), F.sum(bad.cast("bigint")).alias("n_wrong"))
+
+
 # ---- 5: personal information --------------------------------------------------------
 def p5_found(spark, d):
     return pii.find_pii(table(spark, d, "records"), table(spark, d, "works")).select("record_key", "field", "pii_type", "start_char")
@@ -164,7 +180,7 @@ def p8_lengths(spark, d):
     return units.join(docs, "doc_id").groupBy("lang").agg(F.count("*").alias("n_units"), F.count_distinct("doc_id").alias("n_docs"), F.sum(size).alias("n_chars"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_assignment, p1_shares, p1_two_deliveries, p1_invariants, p1_delivery_invariants, p2_found, p2_report, p3_found, p3_report, p3_sample, p5_found, p5_redacted, p6_found, p6_pieces, p6_fill, p7_found, p7_items, p8_found, p8_lengths)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_assignment, p1_shares, p1_two_deliveries, p1_invariants, p1_delivery_invariants, p2_found, p2_report, p3_found, p3_report, p3_sample, p3_quotas, p3_totals, p5_found, p5_redacted, p6_found, p6_pieces, p6_fill, p7_found, p7_items, p8_found, p8_lengths)}
 
 _NORM3 = "replace(regexp_replace(lower(regexp_replace({0}, '^\\s+|\\s+$', '', 'g')), '\\s', '_', 'g'), '-', '_')"
 _P3 = f"""
@@ -206,5 +222,7 @@ UNION ALL SELECT 'unquarantined records that moved', 0""",
     "p3_found": _P3 + "SELECT t.plan_id, t.category FROM t LEFT JOIN c ON c.field = t.field AND c.v = t.category WHERE coalesce(c.n, 0) < t.need",
     "p3_report": _P3 + """SELECT t.plan_id, t.field, t.category, t.target_share, t.sample_size, t.need, CAST(coalesce(c.n, 0) AS BIGINT) AS available, coalesce(c.n, 0) < t.need AS short
 FROM t LEFT JOIN c ON c.field = t.field AND c.v = t.category""",
+    "p3_totals": _P3 + """SELECT t.plan_id, CAST(greatest(sum(least(coalesce(t.min_count, 0), coalesce(c.n, 0))), least(max(t.sample_size), sum(coalesce(c.n, 0)))) AS BIGINT) AS n_drawn, CAST(0 AS BIGINT) AS n_wrong
+FROM t LEFT JOIN c ON c.field = t.field AND c.v = t.category GROUP BY t.plan_id""",
     "p6_found": "SELECT p.plan_id, d.doc_id FROM documents d JOIN pack_plans p ON octet_length(encode(coalesce(d.text, ''))) > p.capacity",
 }

@@ -1,5 +1,8 @@
 from datetime import datetime
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from gradeloom.llm import sampling
 
 from ..factory import frame, record
@@ -30,11 +33,11 @@ def test_counts_and_short(spark):
 
 
 def test_draw_is_repeatable_and_exact(spark):
-    p = plans(spark, [(1, "modality", "written", 0.5, 3, 20), (1, "modality", "speaking", 0.5, 3, 200)])
+    p = plans(spark, [(1, "modality", "written", 0.1, 3, 40), (1, "modality", "speaking", 0.9, 3, 40)])
     df = frame(spark, rows())
     one = sorted(tuple(r) for r in sampling.draw(sampling.reservoirs(df, p), p).collect())
     two = sorted(tuple(r) for r in sampling.draw(sampling.reservoirs(df.repartition(7), p), p).collect())
-    assert one == two and sum(r[2] == "written" for r in one) == 10 and sum(r[2] == "speaking" for r in one) == 29
+    assert one == two and sum(r[2] == "written" for r in one) == 11 and sum(r[2] == "speaking" for r in one) == 29  # one has 29, the other takes its room
     assert len({(r[2], r[3]) for r in one}) == len(one)
 
 
@@ -51,3 +54,38 @@ def test_empty(spark):
     assert [r.short for r in sampling.category_report(res, p).collect()] == [True] and sampling.draw(res, p).count() == 0
     none = plans(spark, [])
     assert sampling.category_report(sampling.reservoirs(frame(spark, rows()), none), none).count() == 0
+
+
+def test_feasible_quotas():
+    # room of the exhausted second is shared 3 : 1, the third keeps its minimum
+    assert sampling.feasible(100, [0.6, 0.2, 0.2], [0, 0, 0], [1000, 8, 1000]) == [69, 8, 23]
+    assert sampling.feasible(100, [0.7, 0.29, 0.01], [0, 0, 20], [1000, 1000, 1000]) == [57, 23, 20]
+    assert sampling.feasible(60, [0.5, 0.5], [40, 40], [100, 100]) == [40, 40]  # the minimums are more than the sample
+    assert sampling.feasible(60, [0.5, 0.5], [0, 0], [10, 20]) == [10, 20]
+    assert sampling.feasible(0, [1.0], [0], [5]) == [0] and sampling.feasible(9, [], [], []) == []
+    assert sampling.feasible(10, [0.0, 0.0], [2, 0], [5, 5]) == [2, 0]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.floats(0.01, 1), st.integers(0, 30), st.integers(0, 200)), min_size=1, max_size=8), st.integers(0, 300))
+def test_feasible_quotas_hold(rows, size):
+    shares, mins, have = (list(x) for x in zip(*rows))
+    q = sampling.feasible(size, shares, mins, have)
+    low = [min(m, h) for m, h in zip(mins, have)]
+    assert all(a <= x <= h for a, x, h in zip(low, q, have))
+    assert sum(q) == max(sum(low), min(size, sum(have)))
+
+
+def test_draw_takes_the_smallest_priorities(spark):
+    rows = [record(i, modality="written" if i % 4 else "speaking", metadata__status="ai_verified", metadata__pii_reviewed=True) for i in range(400)]
+    t = spark.createDataFrame([(1, "modality", "written", 0.5, 0, 90), (1, "modality", "speaking", 0.5, 0, 90), (1, "modality", "listening", 0.1, 5, 90)], "plan_id int, field string, category string, target_share double, min_count int, sample_size int")
+    plans = sampling.Plans(t)
+    res = sampling.reservoirs(frame(spark, rows).repartition(5), plans)
+    got = sampling.draw(res, plans).collect()
+    pri = {}
+    for r in res.where("record_key is not null").collect():
+        pri.setdefault(r.norm, []).append((r.priority, r.record_key))
+    for c in ("written", "speaking"):
+        mine = sorted(r.record_key for r in got if r.category == c)
+        assert mine == sorted(k for _, k in sorted(pri[c])[:45])
+    assert len(got) == 90
