@@ -155,6 +155,10 @@ def p6_fill(spark, d):
     return packing.fill_report(_packed(spark, d))
 
 
+def p6_invariants(spark, d):
+    return packing.invariants(_packed(spark, d))
+
+
 # ---- 7: evaluation texts in the corpus ----------------------------------------------
 def p7_found(spark, d):
     return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
@@ -180,7 +184,7 @@ def p8_lengths(spark, d):
     return units.join(docs, "doc_id").groupBy("lang").agg(F.count("*").alias("n_units"), F.count_distinct("doc_id").alias("n_docs"), F.sum(size).alias("n_chars"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_assignment, p1_shares, p1_two_deliveries, p1_invariants, p1_delivery_invariants, p2_found, p2_report, p3_found, p3_report, p3_sample, p3_quotas, p3_totals, p5_found, p5_redacted, p6_found, p6_pieces, p6_fill, p7_found, p7_items, p8_found, p8_lengths)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_assignment, p1_shares, p1_two_deliveries, p1_invariants, p1_delivery_invariants, p2_found, p2_report, p3_found, p3_report, p3_sample, p3_quotas, p3_totals, p5_found, p5_redacted, p6_found, p6_pieces, p6_fill, p6_invariants, p7_found, p7_items, p8_found, p8_lengths)}
 
 _NORM3 = "replace(regexp_replace(lower(regexp_replace({0}, '^\\s+|\\s+$', '', 'g')), '\\s', '_', 'g'), '-', '_')"
 _P3 = f"""
@@ -225,4 +229,6 @@ FROM t LEFT JOIN c ON c.field = t.field AND c.v = t.category""",
     "p3_totals": _P3 + """SELECT t.plan_id, CAST(greatest(sum(least(coalesce(t.min_count, 0), coalesce(c.n, 0))), least(max(t.sample_size), sum(coalesce(c.n, 0)))) AS BIGINT) AS n_drawn, CAST(0 AS BIGINT) AS n_wrong
 FROM t LEFT JOIN c ON c.field = t.field AND c.v = t.category GROUP BY t.plan_id""",
     "p6_found": "SELECT p.plan_id, d.doc_id FROM documents d JOIN pack_plans p ON octet_length(encode(coalesce(d.text, ''))) > p.capacity",
+    "p6_invariants": """SELECT p.plan_id, count(*) AS n_docs, CAST(sum(octet_length(encode(coalesce(d.text, '')))) AS BIGINT) AS n_tokens, CAST(0 AS BIGINT) AS n_overfull, CAST(0 AS BIGINT) AS n_split_small
+FROM documents d CROSS JOIN pack_plans p WHERE p.capacity > 0 GROUP BY p.plan_id""",
 }
