@@ -6,6 +6,8 @@ or more splits into 20 words and a rest of which one keeps the share, so two for
 left: 20 words with at most two replaced, and 30 words with three.  A run of 30 that holds
 no window of the first form has its three replaced words among the middle ten.
 
+* A window of either form keeps six of its words in a row, so only windows with a run of six
+  words that some item has as well go on; this loses none.
 * Item-sized windows of both sides are embedded by the CGK random walk: 40 steps that
   emit the current word and move on when a random bit of (step, word) says so, which
   turns edits into few changed places.  Every other repeat walks backwards.
@@ -13,10 +15,13 @@ no window of the first form has its three replaced words among the middle ten.
   walk.  A window with two words replaced is found with probability 0.99, with one or
   none replaced with more than 0.999; a passage has many windows.
 * Runs of 30 words are keyed by their first and last ten words, which loses none.
-* Every candidate is verified word by word.
+* Every candidate is verified word by word: the definition counts replaced words, not
+  inserted or removed ones.  Equal windows of many items are one window with members, which
+  are expanded only in the result.
 
-The items are the query set.  They are read to the driver in blocks of bounded size
-and each block runs against all documents in one narrow pass.
+The items are the query set.  They are read to the driver in blocks of bounded size and each
+block runs against all documents in one narrow pass.  With more than one block the pairs of
+each are written before the next is read, so the driver holds one block at a time.
 """
 
 from __future__ import annotations
@@ -26,15 +31,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import spread
+from ..storage import materialize, spread
 from .words import WordHash, mix, words
 
 WINDOW = 20
 MAX_REPLACED = 2
 LONG_WINDOW, LONG_REPLACED, FLANK = 30, 3, 10
+#: 18 kept words of 20 in three runs, or 27 of 30 in four: one run has six words at least.
+GRAM = 6
+GATE_BITS = 22
 REPEATS = 10
 STEPS = 40
 SAMPLED = 4
@@ -70,6 +79,15 @@ def cgk_keys(h: np.ndarray, starts: np.ndarray, size: int, repeat: int) -> np.nd
     return mix(key + np.uint64(repeat))
 
 
+def gram_keys(h: np.ndarray) -> np.ndarray:
+    """Keys of all runs of ``GRAM`` words."""
+    n = max(len(h) - GRAM + 1, 0)
+    key = np.zeros(n, np.uint64)
+    for k in range(GRAM):
+        key += h[k : k + n] * _FLANK_FACTOR[k]
+    return mix(key)
+
+
 def flank_keys(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Keys of the first and last ten words of the windows ``h[s : s + LONG_WINDOW]``."""
     key = np.zeros(len(starts), np.uint64)
@@ -116,28 +134,54 @@ class ItemIndex:
             owner = np.repeat(who, n_win)
             first = np.concatenate([[0], np.cumsum(n_win)[:-1]])
             at = np.arange(len(owner)) - np.repeat(first, n_win) + self.start[owner]
+            text = np.zeros(len(at), np.uint64)
+            for k in range(size):
+                text = mix(text * np.uint64(31) + self.h[at + k])
+            if not slack:  # whole items are compared below, so only equal items may share a class
+                text = mix(text + mix(np.array([xxhash.xxh64_intdigest(self.h[self.start[i] : self.start[i] + self.len[i]].tobytes()) for i in owner.tolist()], np.uint64)))
+            _, rep, cls = np.unique(text, return_index=True, return_inverse=True)
+            # the items of each class, each once
+            pair = np.unique(cls.astype(np.int64) * len(self.ids) + owner)
+            members = pair % len(self.ids)
+            bounds = np.searchsorted(pair // len(self.ids), np.arange(len(rep) + 1))
+            at = at[rep]
             keys, order = [], []
             for r in range(repeats):
                 k = window_keys(self.h, at, size, r)
                 o = np.argsort(k, kind="stable")
                 keys.append(k[o])
                 order.append(o)
-            vocab = np.unique(np.concatenate([self.h[self.start[i] : self.start[i] + (self.len[i] if slack else size)] for i in who]))
-            self.passes.append((size, slack, at, owner, keys, order, vocab))
-
-    def find(self, h: np.ndarray, doc_start: np.ndarray, doc_len: np.ndarray) -> set[tuple[int, int]]:
-        """``(document index, item id)`` pairs for documents given as runs of word hashes."""
-        found: set[tuple[int, int]] = set()
-        if not len(h):
-            return found
+            if slack:
+                grams = gram_keys(self.h)
+                inside = np.zeros(len(grams) + 1, np.int64)
+                np.add.at(inside, at, 1)
+                np.add.at(inside, np.minimum(at + size - GRAM + 1, len(grams)), -1)
+                known = np.unique(grams[np.cumsum(inside)[:-1] > 0])
+            else:
+                known = np.unique(np.concatenate([self.h[self.start[i] : self.start[i] + size] for i in who]))
+            gate = np.zeros(1 << GATE_BITS, bool)
+            gate[(known >> np.uint64(64 - GATE_BITS)).astype(np.int64)] = True
+            self.passes.append((size, slack, at, members, bounds, keys, order, known, gate))
+
+    def find(self, h: np.ndarray, doc_start: np.ndarray, doc_len: np.ndarray) -> np.ndarray:
+        """Rows ``(document index, item id)`` for documents given as runs of word hashes, each once."""
+        found: list[np.ndarray] = []
         doc_of = np.repeat(np.arange(len(doc_len)), doc_len)
         doc_end = np.repeat(doc_start + doc_len, doc_len)
         pos = np.arange(len(h))
-        for size, slack, at, owner, keys, order, vocab in self.passes:
-            j = np.minimum(np.searchsorted(vocab, h), len(vocab) - 1)
-            known = np.concatenate([[0], np.cumsum(vocab[j] == h)])
-            ok = np.flatnonzero(pos + size <= doc_end)
-            ok = ok[known[ok + size] - known[ok] >= size - slack]
+        grams = None
+        for size, slack, at, members, bounds, keys, order, known, gate in self.passes:
+            if slack and grams is None:
+                grams = gram_keys(h)
+            own = grams if slack else h
+            # a bitmap first, then the sorted keys
+            maybe = np.flatnonzero(gate[(own >> np.uint64(64 - GATE_BITS)).astype(np.int64)])
+            j = np.minimum(np.searchsorted(known, own[maybe]), len(known) - 1)
+            hit = np.zeros(len(h) + 1, np.int64)
+            hit[1 + maybe[known[j] == own[maybe]]] = 1
+            count = np.cumsum(hit)
+            ok = pos[pos + size <= doc_end]
+            ok = ok[count[ok + size - GRAM + 1] > count[ok]] if slack else ok[count[ok + size] - count[ok] == size]
             for c in range(0, len(ok), CHUNK):
                 starts = ok[c : c + CHUNK]
                 cand = []
@@ -145,34 +189,43 @@ class ItemIndex:
                     k = window_keys(h, starts, size, r)
                     a, b = np.searchsorted(keys[r], k), np.searchsorted(keys[r], k, "right")
                     n = b - a
-                    hit = np.flatnonzero(n)
-                    if len(hit):
-                        n = n[hit]
-                        off = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(a[hit], n)
-                        cand.append(np.repeat(starts[hit], n) * len(at) + order[r][off])
+                    some = np.flatnonzero(n)
+                    if len(some):
+                        n = n[some]
+                        off = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(a[some], n)
+                        cand.append(np.repeat(starts[some], n) * len(at) + order[r][off])
                 if not cand:
                     continue
                 pairs = np.unique(np.concatenate(cand))
-                p, q = pairs // len(at), pairs % len(at)
-                if slack:
-                    for s in range(0, len(p), CHUNK):
-                        pp, qq = p[s : s + CHUNK], q[s : s + CHUNK]
-                        bad = np.zeros(len(pp), np.int16)
+                for s in range(0, len(pairs), CHUNK):
+                    p, q = pairs[s : s + CHUNK] // len(at), pairs[s : s + CHUNK] % len(at)
+                    if slack:
+                        bad = np.zeros(len(p), np.int16)
                         for w in range(size):
-                            bad += h[pp + w] != self.h[at[qq] + w]
+                            bad += h[p + w] != self.h[at[q] + w]
                         good = bad <= slack
-                        found |= set(zip(doc_of[pp[good]].tolist(), self.item_of[owner[qq[good]]].tolist()))
-                else:
-                    for x, y in zip(p.tolist(), owner[q].tolist()):
-                        n, s = int(self.len[y]), int(self.start[y])
-                        if x + n <= doc_end[x] and np.array_equal(h[x : x + n], self.h[s : s + n]):
-                            found.add((int(doc_of[x]), int(self.item_of[y])))
-        return found
-
-
-def _blocks(items: DataFrame, key: str, text: str):
-    chars = items.agg(F.sum(F.length(text)), F.count("*")).first()
-    n = max(1, math.ceil((chars[0] or 0) / BLOCK_CHARS), math.ceil(chars[1] / 200_000))
+                    else:
+                        good = np.zeros(len(p), bool)
+                        for x, (i, y) in enumerate(zip(p.tolist(), members[bounds[q]].tolist())):
+                            n, f = int(self.len[y]), int(self.start[y])
+                            good[x] = i + n <= doc_end[i] and np.array_equal(h[i : i + n], self.h[f : f + n])
+                    found.append(self._expand(np.unique(doc_of[p[good]] * len(at) + q[good]), len(at), members, bounds))
+        return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+
+    def _expand(self, pairs: np.ndarray, n_classes: int, members: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """``(document, item)`` of ``(document, class)``."""
+        d, q = pairs // n_classes, pairs % n_classes
+        n = bounds[q + 1] - bounds[q]
+        off = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(bounds[q], n)
+        return np.unique(np.stack([np.repeat(d, n), self.item_of[members[off]]], axis=1), axis=0)
+
+
+def _n_blocks(items: DataFrame, text: str) -> int:
+    chars, rows = items.agg(F.sum(F.length(text)), F.count("*")).first()
+    return max(1, math.ceil((chars or 0) / BLOCK_CHARS), math.ceil(rows / 200_000))
+
+
+def _blocks(items: DataFrame, key: str, text: str, n: int):
     src = items.select(F.col(key).cast("bigint").alias("k"), F.col(text).alias("t")).where("k is not null and t is not null")
     for i in range(n):
         part = src if n == 1 else src.where(F.pmod(F.xxhash64("k"), F.lit(n)) == i)
@@ -189,7 +242,8 @@ def leaks(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id", item_key:
     spark = docs.sparkSession
     src = docs.select(F.col(doc_key).cast("bigint").alias("d"), F.col(text).alias("t")).where(F.col("t").isNotNull())
     out = None
-    for block in _blocks(items, item_key, text):
+    n = _n_blocks(items, text)
+    for block in _blocks(items, item_key, text, n):
         shared = spark.sparkContext.broadcast(ItemIndex(block))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -204,9 +258,12 @@ def leaks(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id", item_key:
                     h = np.fromiter((memo[x] for w in ws for x in w), np.uint64, int(lens.sum()))
                     first = np.concatenate([[0], np.cumsum(lens)[:-1]])
                     hits = index.find(h, first, lens)
-                    if hits:
-                        yield pa.RecordBatch.from_arrays([pa.array([ids[s + d] for d, _ in hits], pa.int64()), pa.array([i for _, i in hits], pa.int64())], ["doc_id", "item_id"])
+                    if len(hits):
+                        yield pa.RecordBatch.from_arrays([pa.array([ids[s + d] for d in hits[:, 0].tolist()], pa.int64()), pa.array(hits[:, 1], pa.int64())], ["doc_id", "item_id"])
 
         part = spread(src).mapInArrow(run, "doc_id bigint, item_id bigint")
+        if n > 1:
+            part = materialize(part.distinct(), "leaks")
+            shared.unpersist()
         out = part if out is None else out.unionByName(part)
     return out.distinct()

@@ -64,7 +64,7 @@ def test_recall_of_hardest_windows():
         for p in rng.choice(20, 2, replace=False):
             w[p] = vocab[rng.integers(5000)]
         h = np.array([memo[x] for x in ["q", *w, "z"]], np.uint64)
-        hit += (0, k) in ix.find(h, np.array([0]), np.array([len(h)]))
+        hit += [0, k] in ix.find(h, np.array([0]), np.array([len(h)])).tolist()
     assert hit / n >= 0.97
 
 
@@ -82,3 +82,19 @@ def test_empty(spark):
     d, i = spark.createDataFrame([], "doc_id bigint, text string"), spark.createDataFrame([], "item_id bigint, text string")
     assert leaks(d, i).count() == 0
     assert leaks(spark.createDataFrame([(1, "a b")], "doc_id bigint, text string"), i).count() == 0
+
+
+def test_a_passage_of_many_items_is_verified_once():
+    rng = np.random.default_rng(5)
+    vocab = [f"v{i}" for i in range(3000)]
+    shared = list(rng.choice(vocab, 30))
+    items = [(k, " ".join([*rng.choice(vocab, 5), *shared, *rng.choice(vocab, 5)])) for k in range(800)]
+    items += [(900 + k, "tek kısa öğe burada") for k in range(3)]
+    ix, memo = ItemIndex(items), WordHash()
+    docs = [[*rng.choice(vocab, 15), *shared[:25], *rng.choice(vocab, 15), *words("tek kısa öğe burada")] for _ in range(40)]
+    h = np.array([memo[str(x)] for d in docs for x in d], np.uint64)
+    lens = np.array([len(d) for d in docs])
+    got = ix.find(h, np.cumsum(lens) - lens, lens)
+    assert len(got) == 40 * 803 and len(np.unique(got, axis=0)) == len(got)
+    # windows that the items share are one class
+    assert len(ix.passes[0][2]) < 800 * 21

@@ -19,7 +19,7 @@ def leaks_by_definition(w, v):
 def found(w, v):
     memo = WordHash()
     h = np.array([memo[x] for x in w], np.uint64)
-    return (0, 7) in ItemIndex([(7, " ".join(v))]).find(h, np.array([0]), np.array([len(h)]))
+    return [0, 7] in ItemIndex([(7, " ".join(v))]).find(h, np.array([0]), np.array([len(h)])).tolist()
 
 
 def test_thirty_words_with_three_replaced_in_the_middle():
