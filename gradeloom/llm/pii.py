@@ -3,7 +3,8 @@
 An Aho-Corasick automaton runs once over the folded text (small letters, no Turkish
 diacritics, same length) and finds anchors: at-signs and their spellings, digits and
 signs that can open a number, spelled-out digits, words that announce an identifier, a
-street or a name, and common first names.  Each anchor is expanded by a deterministic
+street or a name, and common first names (a prior: elsewhere two capitalised words inside a
+sentence that the text never writes small are a name and surname).  Each anchor is expanded by a deterministic
 local parser that validates the format and settles where the value starts and ends.
 Mentions of literary works, their authors and characters are no cases.
 """
@@ -11,6 +12,7 @@ Mentions of literary works, their authors and characters are no cases.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import ahocorasick
@@ -74,6 +76,8 @@ NO_PERSON = frozenset(
     "kucuk buyuk genc yasli yeni eski guzel iyi kotu ilk son diger baska oteki ayni boyle soyle gercek zengin fakir komsu yabanci beyaz kara metin metinde metnin hikaye hikayede siir siirde roman romanda yazar sair anlatici kahraman karakter soru cevap yanit odev sinav "
     "adim ismim telefon telefonum telefonu telefonumuz numara numaram numarasi cep gsm ara arayin iletisim faks fax veli velim ev is tel email eposta posta mail kayit imza tarih yer sube".split()
 )
+#: what two capitalised words before it are the name of, if not of a person
+NO_PERSON_AFTER = frozenset("lisesi ortaokulu ilkokulu okulu koleji universitesi fakultesi kurumu dernegi vakfi partisi gazetesi dergisi yayinlari yayinevi kitabevi romani hikayesi siiri oyunu destani sokagi sokak caddesi cadde bulvari mahallesi koyu ilcesi ili sehri denizi golu nehri dagi koprusu kulesi camii parki muzesi tepesi adasi korfezi bogazi vadisi ovasi savasi donemi cumhuriyeti devleti imparatorlugu".split())
 #: minutes, metres and the like after a number that is no house number
 _UNIT = re.compile(r"\s*(?:['’]|(?:dakika|dk|saat|gun|hafta|ay|yil|yas|km|kilometre|metre|m|adim|kez|kere|defa|tane|kisi|bin|milyon|yuz|lira|tl|basamak)\w*\b)")
 #: written with a capital at a sentence start but no part of a name or a street
@@ -83,7 +87,9 @@ STREET = r"(?:sokagi|sokak|sok|sk|caddesi|cadde|cad|cd|bulvari|bulvar|blv|yolu|m
 POSSESSED = frozenset("dibi onu alti ustu yolu basi arkasi ici yani".split())
 
 #: anchors that must begin a word, and but for street words also end one
-_WHOLE = frozenset(("name", "cue", "title", "street", "spelled"))
+_WHOLE = frozenset(("name", "cue", "title", "street", "quarter", "spelled", "id", "no id"))
+#: of these, the ones that need not end a word
+_OPEN = frozenset(("street", "quarter", "id", "no id"))
 
 _NUM_WORDS = {"sifir", "bir", "iki", "uc", "dort", "bes", "alti", "yedi", "sekiz", "dokuz", "on", "yirmi", "otuz", "kirk", "elli", "altmis", "yetmis", "seksen", "doksan", "yuz"}
 _FOLD = {}
@@ -97,14 +103,19 @@ _FOLD |= {ord("ı"): "i", ord("İ"): "i", ord("’"): "'", ord("‘"): "'"}
 _FOLD |= {c: chr(c + 32) for c in range(65, 91)}
 
 _TOKEN = re.compile(r"[^\W\d_]+")
+#: Characters of a word between house number and street; longer ones are no street names.
+_LONGEST_WORD = 40
 _PHONE = re.compile(
     r"(?:(?P<cc>\+\s?90|0090|\+\s?\(90\))[ .\-/]*)?(?:(?P<par>\(\s?0?\s?[2-5]\d{2}\s?\))|(?P<zero>0)?[ .\-/]?(?P<area>[2-5]\d{2}))"
     r"(?P<s1>[ .\-/]{0,3})\d{3}(?P<s2>[ .\-]?)\d{2}(?P<s3>[ .\-]?)\d{2}(?![\w]|[.\-/]\d)"
 )
 _TC = re.compile(r"[1-9](?:[ .\-]?\d){10}(?![\w]|[.\-/]\d)")
 _SCHOOL = re.compile(r"(?:\d{4}-\d{2,6}|\d{1,4}/\d{1,5}|\d{1,2}-?[a-z]-?\d{2,5}|\d{2,9})(?![\w]|[.\-/]\d)")
-_TC_CUE = re.compile(r"(?:tckn|t\.?\s?c\.?|kimlik|nufus|vatandaslik)[^.!?\n]{0,45}$")
-_NOT_ID = re.compile(r"(?:barkod|isbn|issn|kargo|takip|siparis|fatura|iban|hesap|kodu|olcek|basim|kayit)\w*[^.!?\n]{0,25}$")
+#: a number abroad: country code, then groups of digits, 8 to 15 in all
+_ABROAD = re.compile(r"(?:\+|00)[ ]?[1-9]\d{0,2}(?:[ .\-/]?\(?\d{1,5}\)?){1,6}(?![\w]|[.\-/]\d)")
+_STREET_ABROAD = re.compile(r"(?:straße|strasse|str\.|gasse|platz)\s+\d{1,4}(?:\s?[a-z]\b)?(?!\d)")
+_HOUSE_BEFORE = re.compile(r"(?<!\d)\d{1,5}[a-z]?\s+(?:[^\W\d_]+\s+){1,3}$")
+_LOCATIVE = re.compile(r"(?:da|de|ta|te|dan|den|tan|ten)$")
 _SCHOOL_CUE = re.compile(r"(?:(?:okul|ogrenci|sinif)\s+(?:no|num\w*)|numaram|numarasi)\s*(?:[:=.]|olan|da)?\s*$")
 _NO_CUE = re.compile(r"(?:^|[;,]\s*)no\s*[:=]\s*$")
 _STREET_AT = re.compile(r"\b(?P<w>" + STREET + r")\b\.?\s*(?:(?:no|numara|kapi)\s*[:.]?\s*)?\d{1,4}(?!\d)")
@@ -117,6 +128,8 @@ _DOMAINS = {
     "et": re.compile(rf"({_LABEL}(?:\s(?:nokta|dot)\s{_LABEL})+)"),
 }
 _LOCAL = re.compile(r"[\w.+\-%]+$")
+_BREAK = re.compile(r"[.!?\n]")
+_TWO_CAPITALS = re.compile(r"(?<![^\W\d_])[A-ZÇĞİÖŞÜ][^\W\d_A-ZÇĞİÖŞÜ]+[ \xa0][A-ZÇĞİÖŞÜ][^\W\d_A-ZÇĞİÖŞÜ]+")
 
 
 def fold(text: str) -> str:
@@ -136,8 +149,16 @@ def _automaton() -> ahocorasick.Automaton:
     for k in "0123456789":
         kinds[k] = "digit"
     kinds["sifir bes"] = "spelled"
-    for k in ("mah", "mh", "sok", "sk", "cad", "cd", "bulvar", "blv", "meydan", "yolu"):
+    for k in ("sok", "sk", "cad", "cd", "bulvar", "blv", "meydan", "yolu"):
         kinds[k] = "street"
+    for k in ("mah", "mh"):
+        kinds[k] = "quarter"
+    for k in ("straße", "strasse", "str.", "gasse", "platz", "street", "road", "avenue", "lane"):
+        kinds[k] = "abroad"
+    for k in ("tckn", "kimlik", "nufus", "vatandaslik", "tc", "t.c", "t c"):
+        kinds[k] = "id"
+    for k in ("barkod", "isbn", "issn", "kargo", "takip", "siparis", "fatura", "iban", "hesap", "kodu", "olcek", "basim", "kayit"):
+        kinds[k] = "no id"
     for k in NAME_AFTER:
         kinds[k] = "title"
     for k in NAME_BEFORE:
@@ -150,6 +171,54 @@ def _automaton() -> ahocorasick.Automaton:
     return a
 
 
+class _Cases(list):
+    """Cases found so far, with a mark on each character that one covers."""
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.covered = bytearray(size)
+
+    def append(self, case: tuple[str, int, int]) -> None:
+        super().append(case)
+        self.covered[case[1] : case[2]] = b"\1" * (case[2] - case[1])
+
+    def end(self, at: int) -> int:
+        """End of the covered run at ``at``."""
+        e = self.covered.find(0, at)
+        return len(self.covered) if e < 0 else e
+
+
+class _Cues:
+    """The words before a number, back to the start of its clause, that say what it is or is not."""
+
+    def __init__(self, low: str, anchors: dict[str, list[int]]):
+        self.low = low
+        self.yes, self.no = anchors.get("id", []), anchors.get("no id", [])
+        # the stops of an abbreviated cue end no clause
+        inner = {p + k for p in self.yes for k in range(5)}
+        self.breaks = [m.start() for m in _BREAK.finditer(low) if m.start() not in inner] if self.yes or self.no else []
+
+    def _since(self, places: list[int], at: int) -> bool:
+        k = bisect_left(places, at)
+        if not k:
+            return False
+        j = bisect_left(self.breaks, at)
+        return not j or places[k - 1] > self.breaks[j - 1]
+
+    def national(self, at: int) -> bool:
+        return self._since(self.yes, at)
+
+    def other(self, at: int) -> bool:
+        """Is it said, within the four words before, that the number is something else?  A later cue for an
+        identity number outweighs that."""
+        if not self._since(self.no, at):
+            return False
+        since = at - self.no[bisect_left(self.no, at) - 1]
+        if since > 4 * _LONGEST_WORD or len(self.low[at - since : at].split()) > 4:
+            return False
+        return not (self._since(self.yes, at) and self.yes[bisect_left(self.yes, at) - 1] > self.no[bisect_left(self.no, at) - 1])
+
+
 class Finder:
     """Finds cases text by text; ``works`` are the folded words of works, authors and characters."""
 
@@ -166,27 +235,27 @@ class Finder:
         size = len(low)
         for end, (kind, n) in self.auto.iter(low):
             at = end - n + 1
-            if kind in _WHOLE and ((at and low[at - 1].isalpha()) or (kind != "street" and end + 1 < size and low[end + 1].isalpha())):
+            if kind in _WHOLE and ((at and low[at - 1].isalpha()) or (kind not in _OPEN and end + 1 < size and low[end + 1].isalpha())):
                 continue  # part of another word
             anchors.setdefault(kind, []).append(at)
-        if not anchors:
+        two = _TWO_CAPITALS.search(text) is not None
+        if not anchors and not two:
             return []
-        out: list[tuple[str, int, int]] = []
+        out = _Cases(size)
         for kind in ("@", "at", "et"):
             for s in anchors.get(kind, ()):
                 self._email(low, kind, s, out)
-        if "street" in anchors:
-            self._addresses(text, low, out)
+        self._addresses(text, low, anchors, out)
         for s in anchors.get("spelled", ()):
             self._spelled(low, s, out)
         last = -1
+        cues = _Cues(low, anchors) if "digit" in anchors else None
         for s in anchors.get("digit", ()):
             if s > last and (s == 0 or not low[s - 1].isdigit()):
-                last = max(last, self._number(low, s, out))
-        if "name" in anchors or "cue" in anchors or "title" in anchors or any(k == "phone" for k, _, _ in out):
+                last = max(last, self._number(low, s, out, cues))
+        if not anchors.keys().isdisjoint(("name", "cue", "title")) or two or any(k == "phone" for k, _, _ in out):
             self._names(text, low, out)
-        out.sort(key=lambda x: (x[1], -x[2]))
-        return out
+        return sorted(out, key=lambda x: (x[1], -x[2]))
 
     # ---- e-mail ---------------------------------------------------------------------
     def _email(self, low: str, kind: str, at: int, out: list) -> None:
@@ -238,22 +307,41 @@ class Finder:
             elif not (k == 1 and low[toks[0][0] : toks[0][1]] in POSSESSED):
                 break
             start = toks[k][0]
+            if k + 1 == len(toks) or not text[toks[k + 1][0]].isupper():
+                # the word that opens the sentence says where: it is no part of the name
+                opens = start == 0 or re.search(r"[.!?\n]\s*$", low[max(0, start - 4) : start])
+                if opens and k > 0 and _LOCATIVE.search(low[toks[k][0] : toks[k][1]]) and len(low[toks[k][0] : toks[k][1]]) > 4:
+                    start = toks[k - 1][0]
         return start
 
-    def _addresses(self, text: str, low: str, out: list) -> None:
-        taken = [(s, e) for _, s, e in out]
-        spans: list[tuple[int, int]] = []
-        for pat in (_MAH_AT, _STREET_AT):
-            for m in pat.finditer(low):
-                if any(s <= m.start() < e for s, e in spans + taken):
+    def _addresses(self, text: str, low: str, anchors: dict[str, list[int]], out: _Cases) -> None:
+        for kind, pat in (("quarter", _MAH_AT), ("street", _STREET_AT)):
+            for at in anchors.get(kind, ()):
+                if out.covered[at] or not (m := pat.match(low, at)):
                     continue
-                s = self._street_start(text, low, m.start())
+                s = self._street_start(text, low, at)
                 if s is None:
                     continue
                 if m.groupdict().get("w") == "yolu" and "no" not in low[m.end("w") : m.end()] and (not text[s].isupper() or text[m.start("w")].islower() or _UNIT.match(low, m.end())):
                     continue  # a way that takes 15 minutes
-                spans.append((s, _ADDR_TAIL.match(low, m.end()).end()))
-        out += [("street_address", s, e) for s, e in spans]
+                out.append(("street_address", s, _ADDR_TAIL.match(low, m.end()).end()))
+        for at in anchors.get("abroad", ()):
+            if out.covered[at]:
+                continue
+            s = at
+            while s and low[s - 1].isalpha():
+                s -= 1
+            m = _STREET_ABROAD.match(low, at)
+            if m and text[s].isupper():
+                if s == at:  # the name stands before it, as in Lange Str. 5
+                    s = self._street_start(text, low, at)
+                if s is not None:
+                    out.append(("street_address", s, m.end()))
+            elif s == at and text[at].isupper() and (e := _TOKEN.match(low, at).end()) and low[at:e] in ("street", "road", "avenue", "lane"):
+                line = low.rfind("\n", 0, at) + 1
+                h = _HOUSE_BEFORE.search(low, max(line, at - 4 * _LONGEST_WORD), at)
+                if h and all(text[w.start()].isupper() for w in _TOKEN.finditer(text, h.start(), at)):
+                    out.append(("street_address", h.start(), e))
 
     # ---- numbers --------------------------------------------------------------------
     def _spelled(self, low: str, at: int, out: list) -> None:
@@ -267,12 +355,12 @@ class Finder:
         if n >= 8:
             out.append(("phone", at, end))
 
-    def _number(self, low: str, at: int, out: list) -> int:
+    def _number(self, low: str, at: int, out: _Cases, cues: _Cues) -> int:
         """Try each number parser at a digit run; returns the last position consumed."""
-        for _, s, e in out:
-            if s <= at < e:
-                return e - 1
-        before = low[max(0, at - 70) : at]
+        if out.covered[at]:
+            return out.end(at) - 1
+        # the word or two right before a number, which the parsers of school numbers and phones ask for
+        before = low[max(0, at - 2 * _LONGEST_WORD) : at]
         if before and (before[-1].isalnum() or before[-1] in "_@#"):
             return at
         start = at
@@ -286,7 +374,12 @@ class Finder:
             start = at - 2
         elif before[-1:] in ("-", ".", "/", ",") and before[-2:-1].isdigit():
             return at
-        tc_cue, not_id = _TC_CUE.search(before), _NOT_ID.search(before)
+        tc_cue, not_id = cues.national(at), cues.other(at)
+        if low[start] == "+" or low.startswith("00", at):
+            a = _ABROAD.match(low, start)
+            if a and not re.match(r"(?:\+ ?|00)90", a.group()) and 8 <= sum(c.isdigit() for c in a.group()) - 2 * (low[start] != "+") <= 15 and not not_id:
+                out.append(("phone", start, a.end()))
+                return a.end() - 1
         m = _TC.match(low, at)
         if m and tc_cue and not not_id:
             out.append(("identity_number", at, m.end()))
@@ -313,15 +406,15 @@ class Finder:
         return len(seps) >= 2 or bool(re.search(r"(?:tel\w*|gsm|cep|ara\w*|iletisim)\W*$", before))
 
     # ---- names ----------------------------------------------------------------------
-    def _names(self, text: str, low: str, out: list) -> None:
-        covered = [(s, e) for _, s, e in out]
-        toks = [(m.start(), m.end()) for m in _TOKEN.finditer(text) if not any(s <= m.start() < e for s, e in covered)]
+    def _names(self, text: str, low: str, out: _Cases) -> None:
+        toks = [m.span() for m in _TOKEN.finditer(text) if not out.covered[m.start()]]
         if not toks:
             return
         word = [low[s:e] for s, e in toks]
         cap = [text[s].isupper() for s, _ in toks]
         gap = ["" if k == 0 else text[toks[k - 1][1] : toks[k][0]] for k in range(len(toks))]
         known = [w in FIRST_NAMES for w in word]
+        small = {w for w, c in zip(word, cap) if not c}
         n = len(toks)
         phones = any(k == "phone" for k, _, _ in out)
         found: list[tuple[int, int]] = []
@@ -367,9 +460,20 @@ class Finder:
                 e += 1
             return None
 
+        def paired(k: int) -> bool:
+            """Are ``k`` and ``k + 1`` an unlisted name and surname inside a sentence?  Neither is written small here."""
+            if k + 1 >= n or gap[k + 1] not in (" ", "\xa0") or (fresh(k) and not cue(k)) or not (person(k) and person(k + 1)) or word[k + 1] in NO_PERSON_AFTER or shouted(k):
+                return False
+            if not (text[toks[k][0] + 1 : toks[k][1]].islower() and text[toks[k + 1][0] + 1 : toks[k + 1][1]].islower()):
+                return False
+            if k and gap[k] in (" ", "\xa0") and cap[k - 1] and not fresh(k - 1):
+                return False  # within a longer name of something
+            after = word[k + 2] if k + 2 < n and gap[k + 2] in (" ", "\xa0") else ""
+            return not (k + 2 < n and after and cap[k + 2]) and after not in NO_PERSON_AFTER and small.isdisjoint((word[k], word[k + 1]))
+
         def cue(k: int) -> str | None:
             """The word that announces a name starting at token ``k``."""
-            if k == 0 or not re.fullmatch(r"\s*[:=]?\s*|\s*,\s*", gap[k]) or "\n\n" in gap[k]:
+            if k == 0 or not re.fullmatch(r"\s*[:=]?\s*|\s*,\s*" + (r"|\.\s*" if word[k - 1] == "sn" else ""), gap[k]) or "\n\n" in gap[k]:
                 return None
             w = word[k - 1]
             return w if w in NAME_BEFORE and (w != "ustunde" or k < 2 or word[k - 2] in ("zarfin", "kagidin", "defterin", "kapagin")) else None
@@ -397,7 +501,7 @@ class Finder:
                     while e + 1 < n and known[e + 1] and gap[e + 1].strip(" \xa0") == "" and "\n" not in gap[e + 1]:
                         e += 1
                     given = e
-                    if e + 1 < n and gap[e + 1] in (" ", "\xa0") and word[e + 1] not in NO_NAME and word[e + 1] not in NAME_AFTER:
+                    if e + 1 < n and gap[e + 1] in (" ", "\xa0") and word[e + 1] not in NO_NAME and word[e + 1] not in NAME_AFTER and word[e + 1] not in NO_PERSON_AFTER:
                         nxt_cap = namelike(e + 1)
                         joined = bool(found) and bool(re.fullmatch(r"\s*,\s*|\s+(?:ve|ile)\s+", text[found[-1][1] : toks[k][0]]))
                         if nxt_cap or (not cap[k] and len(word[e + 1]) >= 6 and (c or joined or self._followed_by_number(low, toks[e + 1][1]) or text[toks[e + 1][1] : toks[e + 1][1] + 1] == ",")):
@@ -430,6 +534,8 @@ class Finder:
                 # "Surname, First" that nothing announces, followed by a number
                 e = k + 1
                 ok = self._followed_by_number(low, toks[e][1])
+            if not ok and not known[k] and paired(k):
+                e, ok = k + 1, True
             if not ok and not known[k] and titled(k):
                 e, ok = k, True
             if not ok and not known[k] and (last := called(k)) is not None:
@@ -446,7 +552,7 @@ class Finder:
             if m and e + m.end() < len(low) and low[e + m.end()].isdigit():
                 at = e + m.end()
                 v = _SCHOOL.match(low, at)
-                if v and len(v.group()) >= 3 and not any(a <= at < b for _, a, b in out) and re.match(r"\s*(?:yaz\w*|$|\n|[.,;])", low[v.end() : v.end() + 12]):
+                if v and len(v.group()) >= 3 and not out.covered[at] and re.match(r"\s*(?:yaz\w*|$|\n|[.,;])", low[v.end() : v.end() + 12]):
                     out.append(("identity_number", at, v.end()))
 
     @staticmethod
