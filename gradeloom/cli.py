@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .operators import export, links, metrics, quota, rules, split
 from .session import build_session
-from .sources.records import read_jsonl, read_records, write_version
+from .sources.records import bad_lines, read_jsonl, read_records, write_version
 
 
 def load(spark: SparkSession, path: str) -> DataFrame:
@@ -35,8 +35,23 @@ def findings(df: DataFrame, which: str) -> DataFrame:
 
 
 def _show(df: DataFrame, limit: int) -> None:
-    for r in df.limit(limit).collect():
+    rows = df.limit(limit + 1).collect()
+    for r in rows[:limit]:
         print(json.dumps(r.asDict(True), ensure_ascii=False, default=str))
+    if len(rows) > limit:
+        print(f"only the first {limit} rows are shown; --limit shows more", file=sys.stderr)
+
+
+def _strategy(path: str | None, phase: str | None) -> quota.Strategy:
+    if not path:
+        return quota.Strategy()
+    with open(path, encoding="utf-8") as f:
+        return quota.Strategy.from_json(json.load(f), phase)
+
+
+def _names(df: DataFrame, col: str) -> str:
+    """The first ten values."""
+    return ", ".join(str(r[0]) for r in df.select(col).orderBy(col).limit(10).collect())
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -51,6 +66,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--validation", type=float, default=0.1)
     p.add_argument("--seed", default="gradeloom-1")
     p.add_argument("--limit", type=int, default=1000, help="rows printed")
+    p.add_argument("--config", help="strategy file")
+    p.add_argument("--phase")
+    p.add_argument("--lenient", action="store_true", help="score runs with missing, unknown, repeated or malformed predictions")
     try:
         a = p.parse_args(argv)
     except SystemExit as e:
@@ -65,26 +83,45 @@ def main(argv: list[str] | None = None) -> int:
         if a.command == "stats":
             _show(quota.dataset_stats(df).orderBy("axis", "category"), a.limit)
         elif a.command == "quota":
-            v = quota.verified(df)
-            _show(quota.distribution(v, quota.Strategy()).orderBy("axis", "pos"), a.limit)
-            _show(quota.range_status(v, quota.Strategy()), a.limit)
+            _show(quota.production_report(quota.verified(df), _strategy(a.config, a.phase)).orderBy("section", "name", "category"), a.limit)
         elif a.command == "next-batch":
-            _show(quota.next_batch(quota.verified(df), quota.Strategy(), a.count), a.limit)
+            _show(quota.next_batch(quota.verified(df), _strategy(a.config, a.phase), a.count), a.limit)
         elif a.command == "split":
+            split.check_ratios(a.train, a.validation)
+            hit = links.benchmark_collisions(quota.verified(df), "record_key")
+            if not hit.isEmpty():
+                print("records share link values with the benchmark: " + _names(df.join(hit, "record_key", "left_semi"), "id"), file=sys.stderr)
+                return 1
             m = quota.verified(df).where(F.coalesce(F.col("metadata.split") != "benchmark", F.lit(True)))
             m = m.join(links.record_components(m, "record_key"), "record_key")
             s = split.balanced_split(m, a.train, a.validation, a.seed)
+            mixed = s.where("conflict")
+            if not mixed.isEmpty():
+                print("components with more than one split: " + _names(mixed, "component"), file=sys.stderr)
+                return 1
             out = m.select("id", "component").join(s, "component").select("id", "component", "split", "conflict")
             print(write_version(out, a.out)) if a.out else _show(out, a.limit)
-            return int(not s.where("conflict").isEmpty())
         elif a.command == "export-sft":
             rows = export.sft_rows(df, a.split)
             export.write_sft(rows, a.out) if a.out else _show(export.chat_only(rows), a.limit)
         else:
+            if not a.predictions:
+                print("evaluate needs --predictions", file=sys.stderr)
+                return 2
+            if not a.predictions.endswith(".parquet"):
+                broken = bad_lines(spark, a.predictions)
+                if not a.lenient and not broken.isEmpty():
+                    print("malformed lines: " + _names(broken.select(F.concat_ws(":", "file_path", "line").alias("at")), "at"), file=sys.stderr)
+                    return 2
             preds = read_jsonl(spark, a.predictions) if not a.predictions.endswith(".parquet") else spark.read.parquet(a.predictions)
             if "run_id" not in preds.columns:
                 preds = preds.where("corrupt is null").select(F.monotonically_increasing_id().alias("prediction_key"), F.lit("run").alias("run_id"), "id", "criterion_scores", "needs_review", F.lit(None).cast("timestamp_ntz").alias("produced_at"))
             gold = metrics.latest_gold(df, (a.split,))
+            if not a.lenient:
+                problems = metrics.first_offenders(metrics.strict_problems(preds, gold)).orderBy("run_id", "problem")
+                if not problems.isEmpty():
+                    _show(problems, a.limit)
+                    return 2
             j = metrics.joined(metrics.latest_predictions(preds).where("criterion_scores is not null"), gold)
             _show(metrics.slice_metrics(metrics.score_rows(j)).orderBy("run_id", "dim", "value"), a.limit)
             return int(not metrics.contract_errors(j).isEmpty())

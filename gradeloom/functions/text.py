@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -53,3 +55,13 @@ def stable_unit(text: Column, seed: str) -> Column:
 def is_true(c: Column) -> Column:
     """Only a real true counts; null is false."""
     return c.eqNullSafe(F.lit(True))
+
+
+def today() -> str:
+    """The date in UTC as an ISO string; a constant for each call, so a build has one date."""
+    return datetime.now(timezone.utc).date().isoformat()
+
+
+def utc_now() -> str:
+    """The time in UTC as an ISO string to the second."""
+    return datetime.now(timezone.utc).isoformat(timespec="seconds")

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import materialize
 from .components import connected_components
+from .skew import hot_keys, join_unique
 
 #: The four fields that tie records together.
 LINK_FIELDS = {
@@ -40,10 +42,12 @@ def record_components(records: DataFrame, key: str, fields: dict[str, str] | Non
     cols = {f: F.col(p) for f, p in (fields or LINK_FIELDS).items()}
     tagged = F.transform(link_array(cols), lambda x: F.concat(x["field"], F.lit("="), x["value"]))
     keyed = records.select(F.col(key).alias("rid"), F.array_sort(tagged).alias("ks"))
-    sets = keyed.where(F.size("ks") > 0).select("ks").distinct()
+    node = F.try_element_at("ks", F.lit(1))
+    sets = materialize(keyed.where(F.size("ks") > 0).groupBy("ks").agg(F.count("*").alias("n")).withColumn("node", node), "key-sets")
+    hot = hot_keys(sets.groupBy("node").agg(F.sum("n").alias("n")), "node", "n", sets.agg(F.sum("n")).first()[0] or 0)
     edges = sets.select(F.col("ks")[0].alias("a"), F.explode("ks").alias("b"))
     comp = connected_components(edges)
-    labelled = keyed.withColumn("node", F.try_element_at("ks", F.lit(1))).join(comp, "node", "left")
+    labelled = join_unique(keyed.withColumn("node", node), comp, "node", hot, F.xxhash64("rid"), "left")
     label = F.coalesce("root", F.concat(F.lit("id="), F.col("rid").cast("string")))
     return labelled.select(F.col("rid").alias(key), label.alias("component"))
 

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import json
+import os
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import clip, number_g, sentences, ustrip
+from ..functions.text import clip, number_g, sentences, today, ustrip
 from ..schemas import RESPONSE_SOURCES
+from .quota import canonical_summary
 
 # Parts of a criterion's id that choose its evidence; the first hit wins.
 EVIDENCE_RULES = {
@@ -258,3 +262,33 @@ def draft_records(rows: DataFrame) -> DataFrame:
     total = F.aggregate("criteria", F.lit(0.0), lambda a, c: a + c["max_score"])
     results = F.transform("criteria", lambda c: F.struct(c["criterion_id"].alias("criterion_id"), F.lit(0.0).alias("score"), F.array().cast("array<string>").alias("evidence"), F.lit("").alias("justification")))
     return rows.select("id", F.lit("1.0").alias("schema_version"), "modality", F.lit("tr").alias("language"), "grade", F.struct("prompt", "context", total.alias("max_score")).alias("task"), F.struct("criteria").alias("rubric"), F.struct("text", "source").alias("student_response"), F.struct(results.alias("criterion_results"), F.lit(0.0).alias("total_score"), total.alias("max_score"), F.lit(True).alias("needs_review")).alias("gold_evaluation"), F.struct(F.lit("draft").alias("status"), "created_at").alias("metadata"))
+
+
+def check_family_sizes(built: DataFrame, expected: int) -> None:
+    """Raise unless every question family of a build has ``expected`` answers; names the first ten that have not."""
+    per = built.groupBy(F.col("metadata.question_family").alias("family")).agg(F.count("*").alias("n")).where(F.col("n") != expected)
+    wrong = [f"{r['family']}: {r['n']}" for r in per.orderBy("family").limit(10).collect()]
+    if wrong:
+        raise ValueError(f"families without {expected} answers: " + ", ".join(wrong))
+
+
+def update_manifest(path: str, built: DataFrame, at: str | None = None) -> dict:
+    """Write counts and distribution of a finished build into its manifest, a small JSON file on the driver.
+
+    The file is replaced as a whole, so a reader sees the old one or the new one.
+    """
+    with open(path, encoding="utf-8") as f:
+        manifest = json.load(f)
+    spread: dict = {}
+    for r in canonical_summary(built).orderBy("axis", "category").limit(10_000).collect():
+        spread.setdefault(r["axis"], {})[r["category"]] = r["n"]
+    total = sum(spread.get("modality", {}).values())
+    flat = {k: v["yes"] if set(v) == {"yes"} else v for k, v in spread.items()}
+    for k in ("hard_case_records", "adversarial_records", "needs_review_records", "second_pass_records"):
+        flat.setdefault(k, 0)
+    manifest |= {"status": "materialized", "canonical_records": total, "pending_records": 0, "materialized_at": at or today(), "canonical_distribution": flat}
+    tmp = f"{path}.{uuid.uuid4().hex}"
+    with open(tmp, "w", encoding="utf-8") as f:
+        json.dump(manifest, f, ensure_ascii=False, indent=2)
+    os.replace(tmp, path)
+    return manifest

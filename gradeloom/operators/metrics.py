@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.text import is_true, safe_div
 from ..schemas import TOLERANCE
@@ -54,6 +55,56 @@ def missing_predictions(predictions: DataFrame, gold: DataFrame) -> DataFrame:
     return want.join(predictions.select("run_id", "id"), ["run_id", "id"], "left_anti").select("run_id", "id")
 
 
+def missing_counts(predictions: DataFrame, gold: DataFrame) -> DataFrame:
+    """``(run_id, n_missing)`` of every run, without listing the ids: all gold ids less those the run has."""
+    have = predictions.where("run_id is not null").join(gold.select("id"), "id").groupBy("run_id").agg(F.count_distinct("id").alias("n"))
+    runs = predictions.where("run_id is not null").select("run_id").distinct().join(have, "run_id", "left")
+    return runs.crossJoin(gold.agg(F.count("*").alias("n_gold"))).select("run_id", (F.col("n_gold") - F.coalesce("n", F.lit(0))).alias("n_missing"))  # by one row
+
+
+def strict_problems(predictions: DataFrame, gold: DataFrame) -> DataFrame:
+    """``(run_id, problem, id)`` of everything that forbids scoring a run: ``malformed`` predictions,
+    ``duplicate``, ``unknown`` and ``missing`` ids.  A null run is a run of its own; a malformed
+    prediction without id stands under its key."""
+    bad = predictions.join(prediction_errors(predictions).select("prediction_key"), "prediction_key", "left_semi")
+    ids = predictions.where("id is not null and id <> ''").groupBy("run_id", "id").agg(F.count("*").alias("n"))
+    parts = [
+        bad.select("run_id", F.lit("malformed").alias("problem"), F.coalesce(F.nullif("id", F.lit("")), F.concat(F.lit("#"), F.col("prediction_key").cast("string"))).alias("id")),
+        ids.where("n > 1").select("run_id", F.lit("duplicate").alias("problem"), "id"),
+        unknown_predictions(ids, gold).select("run_id", F.lit("unknown").alias("problem"), "id"),
+        missing_predictions(predictions, gold).select("run_id", F.lit("missing").alias("problem"), "id"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def first_offenders(problems: DataFrame, top: int = 10) -> DataFrame:
+    """``(run_id, problem, n, first_ids)``: count and the first ``top`` ids of each problem, comma-separated."""
+    keys = ["run_id", "problem"]
+    n = problems.groupBy(*keys).agg(F.count("*").alias("n"))
+    # the rank limit is applied before the shuffle, so no task sees more than top rows of a key from each partition
+    w = Window.partitionBy(*keys).orderBy("id")
+    few = problems.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
+    few = few.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list("id")), ",").alias("first_ids"))
+    same = [n[k].eqNullSafe(few[k]) for k in keys]
+    return n.join(few, same[0] & same[1]).select(n["run_id"], n["problem"], "n", "first_ids")
+
+
+def targeted_rates(scored: DataFrame, overridden: Column | None = None) -> DataFrame:
+    """``(hard_case_type, records, items, under_rate, over_rate, review_rate, override_rate)`` of each hard-case type.
+
+    ``override_rate`` is the share of records whose predicted total reaches the maximum although
+    the gold one does not (``overridden``), as an injected instruction would have it.
+    """
+    kind = F.explode(F.coalesce(F.col("metadata.hard_case_types"), F.array().cast("array<string>")))
+    over = F.coalesce(overridden if overridden is not None else F.lit(None).cast("boolean"), F.lit(False))
+    g = scored.withColumn("hard_case_type", kind).groupBy("hard_case_type")
+    out = g.agg(F.count("*").alias("records"), F.sum("items").alias("items"), F.sum("under").alias("u"), F.sum("over").alias("o"), F.count_if("pred_review").alias("r"), F.count_if(over).alias("x"))
+    return out.select("hard_case_type", "records", "items", safe_div(F.col("u"), F.col("items")).alias("under_rate"), safe_div(F.col("o"), F.col("items")).alias("over_rate"), safe_div(F.col("r"), F.col("records")).alias("review_rate"), safe_div(F.col("x"), F.col("records")).alias("override_rate"))
+
+
 def _criteria(path: str) -> Column:
     return F.filter(F.col(path), lambda x: x.isNotNull() & x["criterion_id"].isNotNull())
 
@@ -95,6 +146,7 @@ def score_rows(rows: DataFrame) -> DataFrame:
     err = F.filter(err, lambda e: e.isNotNull() & ~F.isnan(e))
     gold = F.col("gold_evaluation")
     rows = rows.withColumn("errs", err)
+    full = F.coalesce(gold["max_score"], F.lit(0.0))
     predicted = F.aggregate(F.transform(results, lambda r: F.coalesce(F.try_element_at("criterion_scores", r["criterion_id"]), F.lit(0.0))), F.lit(0.0), lambda a, b: a + b)
     total = F.abs(predicted - gold["total_score"])
     count = lambda c: F.size(c).cast("bigint")
@@ -112,6 +164,7 @@ def score_rows(rows: DataFrame) -> DataFrame:
         F.when(scoreable, F.aggregate("errs", F.lit(0.0), lambda a, b: a + F.abs(b))).otherwise(0.0).alias("abs_error"),
         F.when(scoreable, F.aggregate("errs", F.lit(0.0), lambda a, b: a + b)).otherwise(0.0).alias("signed_error"),
         F.when(scoreable, total).alias("total_error"),
+        (scoreable & (full > 0) & (predicted >= full - TOLERANCE) & (gold["total_score"] < full - TOLERANCE)).alias("overridden"),
         F.when(scoreable, total / F.coalesce(F.nullif(gold["max_score"], F.lit(0.0)), F.lit(1.0))).alias("norm_error"),
     )
 

@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 from ..storage import spread
 
+#: Bytes of payloads that are indexed together; a larger payload is one by itself.
+CHUNK_BYTES = 1 << 20
 ELEMENT_SCHEMA = "doc bigint, child string, parent_pos int, pos int, element_id string, parent_id string, body string"
 
 _Q, _BS, _LB, _RB, _LC, _RC, _COMMA, _COLON = (ord(c) for c in '"\\[]{},:')
@@ -310,9 +312,12 @@ def _member(node: _Node | None, name: str) -> _Node | None:
 
 
 def _unwrap(nodes: list[_Node | None]) -> list[_Node | None]:
-    """Step through envelopes until the object that holds the rubric or the evaluation."""
+    """Step through envelopes, however many, until the object that holds the rubric or the evaluation.
+
+    Each step goes one level deeper, so it ends with the depth of the deepest payload.
+    """
     out = list(nodes)
-    for _ in range(8):
+    while True:
         moved: list[int] = []
         for k, x in enumerate(out):
             if x is None:
@@ -330,7 +335,6 @@ def _unwrap(nodes: list[_Node | None]) -> list[_Node | None]:
         if not moved:
             return out
         out = _resolve(out)
-    return out
 
 
 def _id_of(node: _Node, keyed: str | None) -> str | None:
@@ -399,8 +403,14 @@ def flatten_payloads(df: DataFrame, key: str, payload: str, bodies: bool = True)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for s in range(0, len(ids), 256):  # a few MB of bitmaps at a time
-                got = nested_rows(ids[s : s + 256], texts[s : s + 256], bodies)
+            s = 0
+            while s < len(ids):
+                e, size = s, 0
+                while e < len(ids) and (e == s or size + len(texts[e]) <= CHUNK_BYTES):
+                    size += len(texts[e])
+                    e += 1
+                got = nested_rows(ids[s:e], texts[s:e], bodies)
+                s = e
                 if got["doc"]:
                     yield pa.RecordBatch.from_pydict(got, schema)
 

@@ -171,3 +171,55 @@ def assert_distribution(counts: DataFrame, expected: dict[str, dict[str, int]])
     wrong = {a: (expected[a], got[a]) for a in expected if expected[a] != got[a]}
     if wrong:
         raise ValueError(f"distribution differs from the manifest: {wrong}")
+
+
+def production_report(records: DataFrame, strategy: Strategy) -> DataFrame:
+    """``(section, name, category, value, target, status)``: the whole quota report of verified records.
+
+    Sections: ``total``, ``verification_source``, ``distribution``, ``range``, ``coverage`` and ``rubric``.
+    """
+    num = lambda c: c.cast("double")
+    none, text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    row = lambda section, name, category, value, target=none, status=text: (F.lit(section).alias("section"), name.alias("name"), category.alias("category"), num(value).alias("value"), num(target).alias("target"), status.alias("status"))
+    goal = F.lit(float(strategy.target_records))
+    parts = [records.agg(F.count("*").alias("n")).select(*row("total", F.lit("verified_records"), F.lit("all"), F.col("n"), goal, F.when(F.col("n") >= goal, "reached").otherwise("open")))]
+    source = F.coalesce(F.nullif("metadata.verification_source", F.lit("")), F.lit("<missing>"))
+    parts.append(records.groupBy(source.alias("s")).agg(F.count("*").alias("n")).select(*row("verification_source", F.lit("verification_source"), F.col("s"), F.col("n"))))
+    d = distribution(records, strategy)
+    parts.append(d.select(*row("distribution", F.col("axis"), F.col("category"), F.col("actual"), F.col("target"), F.when(F.col("gap") > 0, "under").otherwise("reached"))))
+    r = range_status(records, strategy)
+    parts.append(r.select(*row("range", F.col("name"), F.lit("rate"), F.col("rate"), F.col("low"), F.col("status"))))
+    for name, key, (lo, hi) in (("exact_tasks", F.col("task.task_id"), strategy.per_task), ("question_families", F.col("metadata.question_family"), strategy.per_family)):
+        c = coverage(records, key, lo, hi)
+        cells = F.explode(F.array(*[F.struct(F.lit(x).alias("k"), num(F.col(x)).alias("v")) for x in ("keys", "mean", "below_min", "in_range", "above_max")]))
+        parts.append(c.select(cells.alias("x")).select(*row("coverage", F.lit(name), F.col("x.k"), F.col("x.v"))))
+    parts.append(rubric_diversity(records).select(*row("rubric", F.lit("criterion_count"), F.col("criterion_count").cast("string"), F.col("n"), F.col("rubrics"))))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def density(records: DataFrame, per_family: int, per_task: int) -> DataFrame:
+    """``(level, key, n, wanted)`` of families and tasks whose number of answers is not the wanted one; blank keys are skipped."""
+    cells = F.array(F.struct(F.lit("question_family").alias("level"), F.col("metadata.question_family").alias("key"), F.lit(per_family).alias("wanted")), F.struct(F.lit("task").alias("level"), F.col("task.task_id").alias("key"), F.lit(per_task).alias("wanted")))
+    g = records.select(F.explode(cells).alias("c")).where("c.key is not null and c.key <> ''").groupBy("c.level", "c.key", "c.wanted").agg(F.count("*").alias("n"))
+    return g.where("n <> wanted").select("level", "key", "n", "wanted")
+
+
+def canonical_summary(records: DataFrame) -> DataFrame:
+    """``(axis, category, n)`` after a build: modality, grade, quality and the special cases."""
+    m = F.col("metadata")
+    cell = lambda a, c: F.struct(F.lit(a).alias("axis"), c.alias("category"))
+    flag = lambda a, c: F.when(F.coalesce(c, F.lit(False)), cell(a, F.lit("yes")))
+    miss = lambda c: F.coalesce(c.cast("string"), F.lit("<missing>"))
+    cells = F.array(
+        cell("modality", miss(F.col("modality"))),
+        cell("grade", miss(F.col("grade"))),
+        cell("response_quality", miss(m["response_quality"])),
+        flag("hard_case_records", F.size(m["hard_case_types"]) > 0),
+        flag("adversarial_records", m["adversarial"]),
+        flag("needs_review_records", F.col("gold_evaluation.needs_review")),
+        flag("second_pass_records", m["review_count"] >= 2),
+    )
+    return records.select(F.explode(F.array_compact(cells)).alias("c")).groupBy("c.axis", "c.category").agg(F.count("*").alias("n"))

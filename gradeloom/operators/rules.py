@@ -11,10 +11,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.text import blank, is_true, number_g
 from ..schemas import EVALUATION_SPLITS, HARD_CASE_TYPES, MODALITIES, NONTEXT_EVIDENCE, PREDICTION_SCHEMA, QUALITY_LEVELS, RUBRIC_SCHEMA, TOLERANCE, VERIFIED_STATUSES
+from ..storage import materialize
+from .skew import hot_keys, join_unique
 
 
 @dataclass(frozen=True)
@@ -65,7 +66,7 @@ def _differs(a: Column, b: Column) -> Column:
 
 CRITERIA, RESULTS = "rubric.criteria", "gold_evaluation.criterion_results"
 
-# Signs of personal data, as (name, pattern).
+# Signs of personal data, as (name, pattern), in the order of their names, which pii_signs keeps.
 PII_SIGNS = (
     ("email", r"(?iU)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b"),
     ("okul_numarasi_etiketi", r"(?iU)\b(?:okul|öğrenci)\s*(?:no|numara|numarası)\b"),
@@ -136,10 +137,18 @@ def record_rules(path: str | None = "file_path") -> list[Rule]:
 
 
 def duplicate_ids(df: DataFrame, key: str, id_col: str = "id", path: str = "file_path") -> DataFrame:
-    """A finding on every later path of an id, naming the first one (ties by ``key``)."""
-    w = Window.partitionBy(id_col).orderBy(path, key)
-    seen = df.where(F.col(id_col).isNotNull()).select(key, F.row_number().over(w).alias("n"), F.first(path).over(w).alias("first_path"))
-    return seen.where("n > 1").select(key, F.lit("error").alias("level"), F.lit("duplicate_record_id").alias("code"), F.col("first_path").alias("detail"))
+    """A finding on every later path of an id, naming the first one (ties by ``key``).
+
+    The first path is a minimum, combined before the shuffle and joined back with hot ids
+    salted, so an id on a third of all rows is in no task by itself.  Null ids are no
+    duplicates of each other; a null path comes first.
+    """
+    at = F.struct(F.col(path).alias("p"), F.col(key).alias("k"))
+    rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("__id"), at.alias("at"))
+    first = materialize(rows.groupBy("__id").agg(F.min("at").alias("first"), F.count("*").alias("n")).where("n > 1"), "first-paths")
+    hot = hot_keys(first, "__id", "n", first.agg(F.sum("n")).first()[0] or 0)
+    later = join_unique(rows, first, "__id", hot, F.xxhash64("at")).where("at != first")
+    return later.select(F.col("at.k").alias(key), F.lit("error").alias("level"), F.lit("duplicate_record_id").alias("code"), F.col("first.p").alias("detail"))
 
 
 def policy_rules(min_reviews: int = 1, eval_reviews: int = 2, borderline_reviews: int = 2, review_reviews: int = 2) -> list[Rule]:
@@ -185,6 +194,35 @@ def render(findings: DataFrame, path: str | None = None) -> DataFrame:
     return findings.select(F.concat(F.rpad(F.upper("level"), 7, " "), F.lit(" "), F.col("code"), F.lit(": "), F.coalesce("detail", F.lit("")), where).alias("line"))
 
 
+# ---- grounding of texts ----------------------------------------------------------------
+# Words that describe the capture of an answer and must not stand in it.
+DIAGNOSTIC_PROSE = ("Transkriptte", "transkriptimde", "OCR’da", "OCR'da", "taranan cevabımda")
+
+
+def ungrounded_evidence(records: DataFrame, key: str) -> DataFrame:
+    """``(key, criterion_id)`` of results with evidence that stands word for word in neither answer nor observations.
+
+    Null evidence counts for nothing; the mark of a clipped text is ignored.
+    """
+    strip = lambda e: F.regexp_replace(e, "…$", "")
+    seen = F.array_join(F.transform(F.filter(_list(F.col("student_response.observations")), lambda o: o.isNotNull()), lambda o: o["value"]), "\n")
+    text = F.concat_ws("\n", F.col("student_response.text"), F.nullif(seen, F.lit("")))
+    r = records.select(key, text.alias("t"), F.explode("gold_evaluation.criterion_results").alias("r"))
+    return r.where(F.exists("r.evidence", lambda e: ~F.contains("t", strip(e)))).select(key, F.col("r.criterion_id").alias("criterion_id"))
+
+
+def ungrounded_uncertainties(records: DataFrame, key: str) -> DataFrame:
+    """``(key, span)`` of uncertain spans that are not in the text or have fewer than two candidates."""
+    r = records.select(key, F.lower("student_response.text").alias("t"), F.explode("student_response.input_uncertainties").alias("u")).where("u is not null")
+    bad = ~F.coalesce(F.contains("t", F.lower("u.span")), F.lit(False)) | (F.coalesce(F.size("u.candidates"), F.lit(0)) < 2)
+    return r.where(bad).select(key, F.col("u.span").alias("span"))
+
+
+def diagnostic_prose(records: DataFrame, key: str) -> DataFrame:
+    """Keys of records whose answer talks about its own capture."""
+    return records.where(F.col("student_response.text").rlike("|".join(DIAGNOSTIC_PROSE))).select(key)
+
+
 # ---- typed checks on raw JSON ----------------------------------------------------------
 #: What each checked path must be, as a VARIANT type.
 TYPED_PATHS = {

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import export, links, materialize, predictions, quota, review, split
+from ..operators import export, links, materialize, predictions, quota, review, rules, split
 from .tables import table
 
 SEED = "gradeloom-1"
@@ -125,7 +125,7 @@ def review_unmatched(spark, d):
 def sft_messages(spark, d):
     """Roles, sizes and label columns of the training rows."""
     r = export.sft_rows(_records(spark, d))
-    return r.select("id", "split", F.size("messages").alias("n_messages"), F.element_at("messages", -1)["role"].alias("last_role"), F.col("metadata.task_id").alias("task_id"), F.col("metadata.rubric_id").alias("rubric_id"), F.col("metadata.adversarial").alias("adversarial"), F.contains(F.col("messages")[1]["content"], F.lit('"task_id"')).alias("leaks_task_id"))
+    return r.select("id", "split", F.size("messages").alias("n_messages"), F.element_at("messages", -1)["role"].alias("last_role"), F.col("metadata.task_id").alias("task_id"), F.col("metadata.rubric_id").alias("rubric_id"), F.col("metadata.adversarial").alias("adversarial"), F.contains(F.col("messages")[1]["content"], F.lit('"task_id"')).alias("leaks_task_id"), F.sha2(F.concat_ws("|", F.get_json_object(F.col("messages")[1]["content"], "$.task.prompt"), F.get_json_object(F.col("messages")[1]["content"], "$.student_response.text"), F.get_json_object(F.col("messages")[2]["content"], "$.overall_feedback")), 256).alias("digest"))
 
 
 def sft_chat_lines(spark, d):
@@ -152,7 +152,12 @@ def json_extract_fence(spark, d):
 
 def str_sentences(spark, d):
     t = _records(spark, d).select("record_key", F.posexplode(T.sentences(F.col("student_response.text"))).alias("pos", "sentence"))
-    return t.select("record_key", "pos", T.clip(F.col("sentence"), 60).alias("sentence"))
+    return t.select("record_key", "pos", "sentence")
+
+
+def str_clip(spark, d):
+    """Answers clipped as evidence is, at 180 code points."""
+    return _records(spark, d).where("student_response.text is not null").select("record_key", T.clip(F.col("student_response.text"), 180).alias("clipped"))
 
 
 def sha_signature(spark, d):
@@ -160,17 +165,24 @@ def sha_signature(spark, d):
 
 
 def evidence_literal(spark, d):
-    """Evidence that does not stand in the answer word for word."""
-    strip = lambda e: F.regexp_replace(e, "…$", "")
-    r = _records(spark, d).select("record_key", F.col("student_response.text").alias("t"), F.explode("gold_evaluation.criterion_results").alias("r"))
-    return r.where(F.exists("r.evidence", lambda e: ~F.contains(F.coalesce("t", F.lit("")), strip(e)))).select("record_key", F.col("r.criterion_id").alias("criterion_id"))
+    return rules.ungrounded_evidence(_records(spark, d), "record_key")
 
 
 def uncertainty_grounding(spark, d):
-    """Uncertain spans that are not in the text or have fewer than two candidates."""
-    r = _records(spark, d).select("record_key", F.lower("student_response.text").alias("t"), F.explode("student_response.input_uncertainties").alias("u")).where("u is not null")
-    bad = ~F.coalesce(F.contains("t", F.lower("u.span")), F.lit(False)) | (F.coalesce(F.size("u.candidates"), F.lit(0)) < 2)
-    return r.where(bad).select("record_key", F.col("u.span").alias("span"))
+    return rules.ungrounded_uncertainties(_records(spark, d), "record_key")
+
+
+def answer_diagnostics(spark, d):
+    return rules.diagnostic_prose(_records(spark, d), "record_key")
+
+
+def answer_density(spark, d):
+    """Families without 20 answers and tasks without 10."""
+    return quota.density(_records(spark, d), 20, 10)
+
+
+def canonical_summary(spark, d):
+    return quota.canonical_summary(_records(spark, d))
 
 
 def duplicate_answers(spark, d):
@@ -181,7 +193,7 @@ def duplicate_answers(spark, d):
 _FUNCS = (
     link_components, link_leakage, link_bench_isolation, link_explode, split_hash, split_hash_keep, split_balanced, split_manifest, mat_evidence, mat_justification, anchor_nearest,
     feedback_band, next_record_id, serial_running, positional_scores, review_apply, review_summary, review_unmatched, sft_messages, sft_chat_lines, sft_legacy_counts, json_outputs,
-    json_extract_fence, str_sentences, sha_signature, evidence_literal, uncertainty_grounding, duplicate_answers,
+    json_extract_fence, str_sentences, str_clip, answer_diagnostics, answer_density, canonical_summary, sha_signature, evidence_literal, uncertainty_grounding, duplicate_answers,
 )
 QUERIES = {f.__name__: f for f in _FUNCS}
 
@@ -249,16 +261,24 @@ UNION ALL SELECT record_key, k, v FROM b WHERE NOT EXISTS (SELECT 1 FROM o WHERE
     "review_summary": f"{_APPLIED} SELECT count(*) AS records_reviewed, count(*) FILTER (corrected) AS records_corrected, CAST(sum(changed_scores) AS BIGINT) AS criterion_scores_changed, CAST(sum(changed_quality) AS BIGINT) AS response_quality_changed, count(review_error) AS errors FROM applied",
     "review_unmatched": """WITH i AS (SELECT id, bool_or(coalesce(metadata.split IN ('validation', 'test'), false)) AS inside FROM records GROUP BY id), c AS (SELECT DISTINCT id FROM review_corrections)
 SELECT c.id, CASE WHEN i.inside IS NULL THEN 'unknown' ELSE 'out_of_scope' END AS problem FROM c LEFT JOIN i ON c.id = i.id WHERE i.inside IS NULL OR NOT i.inside""",
-    "sft_messages": """SELECT id, metadata.split AS split, CAST(3 AS INTEGER) AS n_messages, 'assistant' AS last_role, task.task_id AS task_id, rubric.rubric_id AS rubric_id, coalesce(metadata.adversarial, false) AS adversarial, false AS leaks_task_id
+    "sft_messages": """SELECT id, metadata.split AS split, CAST(3 AS INTEGER) AS n_messages, 'assistant' AS last_role, task.task_id AS task_id, rubric.rubric_id AS rubric_id, coalesce(metadata.adversarial, false) AS adversarial, false AS leaks_task_id, sha256(concat_ws('|', task.prompt, student_response.text, gold_evaluation.overall_feedback)) AS digest
 FROM records WHERE metadata.status IN ('ai_verified', 'teacher_verified') AND metadata.pii_reviewed AND metadata.split IS NOT NULL""",
     "sft_chat_lines": "SELECT true AS ok, count(*) AS n FROM records WHERE metadata.status IN ('ai_verified', 'teacher_verified') AND metadata.pii_reviewed AND metadata.split IS NOT NULL",
     "sft_legacy_counts": """SELECT metadata.split AS split, count(*) AS n_all, count(*) FILTER (NOT coalesce(gold_evaluation.needs_review, false)) AS n_kept
 FROM records WHERE metadata.status IN ('ai_verified', 'teacher_verified') AND metadata.pii_reviewed AND metadata.split IS NOT NULL GROUP BY ALL""",
     "json_extract_fence": "SELECT raw_id, sha256(nullif(regexp_extract('Cevap: ' || payload || ' son', '(?s)\\{.*\\}', 0), '')) AS digest FROM raw_records",
     "str_sentences": f"""WITH p AS (SELECT record_key, unnest({_SENT.format('student_response.text')}) AS s, unnest(range(len({_SENT.format('student_response.text')}))) AS pos FROM records)
-SELECT record_key, CAST(pos AS INTEGER) AS pos, {_CLIP.format('s', 60)} AS sentence FROM p""",
+SELECT record_key, CAST(pos AS INTEGER) AS pos, s AS sentence FROM p""",
+    "str_clip": f"SELECT record_key, {_CLIP.format('t', 180)} AS clipped FROM (SELECT record_key, regexp_replace(student_response.text, '^\\s+|\\s+$', '', 'g') AS t FROM records) WHERE t IS NOT NULL",
     "sha_signature": f"SELECT record_key, sha256('{SEED}:' || file_path) AS digest, round({_UNIT.format('file_path')}, 9) AS unit FROM records",
-    "evidence_literal": """WITH r AS (SELECT record_key, coalesce(student_response.text, '') AS t, unnest(gold_evaluation.criterion_results) AS r FROM records)
+    "answer_diagnostics": "SELECT record_key FROM records WHERE regexp_matches(student_response.text, 'Transkriptte|transkriptimde|OCR’da|OCR''da|taranan cevabımda')",
+    "answer_density": """WITH c AS (SELECT 'question_family' AS level, metadata.question_family AS key, 20 AS wanted FROM records UNION ALL SELECT 'task', task.task_id, 10 FROM records)
+SELECT level, key, count(*) AS n, CAST(wanted AS INTEGER) AS wanted FROM c WHERE key <> '' GROUP BY level, key, wanted HAVING count(*) <> wanted""",
+    "canonical_summary": """SELECT 'modality' AS axis, coalesce(modality, '<missing>') AS category, count(*) AS n FROM records GROUP BY ALL UNION ALL SELECT 'grade', coalesce(CAST(grade AS VARCHAR), '<missing>'), count(*) FROM records GROUP BY ALL
+UNION ALL SELECT 'response_quality', coalesce(metadata.response_quality, '<missing>'), count(*) FROM records GROUP BY ALL
+UNION ALL SELECT 'hard_case_records', 'yes', count(*) FROM records WHERE len(metadata.hard_case_types) > 0 HAVING count(*) > 0 UNION ALL SELECT 'adversarial_records', 'yes', count(*) FROM records WHERE metadata.adversarial HAVING count(*) > 0
+UNION ALL SELECT 'needs_review_records', 'yes', count(*) FROM records WHERE gold_evaluation.needs_review HAVING count(*) > 0 UNION ALL SELECT 'second_pass_records', 'yes', count(*) FROM records WHERE metadata.review_count >= 2 HAVING count(*) > 0""",
+    "evidence_literal": """WITH r AS (SELECT record_key, concat_ws(chr(10), student_response.text, nullif(array_to_string(list_transform(list_filter(coalesce(student_response.observations, []), lambda o: o IS NOT NULL), lambda o: o.value), chr(10)), '')) AS t, unnest(gold_evaluation.criterion_results) AS r FROM records)
 SELECT record_key, r.criterion_id AS criterion_id FROM r WHERE len(list_filter(r.evidence, lambda e: NOT contains(t, regexp_replace(e, '…$', '')))) > 0""",
     "uncertainty_grounding": """WITH r AS (SELECT record_key, lower(student_response.text) AS t, unnest(student_response.input_uncertainties) AS u FROM records)
 SELECT record_key, u.span AS span FROM r WHERE u IS NOT NULL AND (NOT coalesce(contains(t, lower(u.span)), false) OR coalesce(len(u.candidates), 0) < 2)""",

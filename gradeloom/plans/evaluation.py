@@ -55,6 +55,27 @@ def _sides(spark, d):
     return metrics.latest_predictions(table(spark, d, "predictions")), metrics.latest_gold(_records(spark, d))
 
 
+def agg_report(spark, d):
+    return quota.production_report(quota.verified(_records(spark, d)), STRATEGY)
+
+
+def evaluate_strict(spark, d):
+    """What forbids scoring the runs against the test split, with the first ten ids of each problem."""
+    gold = metrics.latest_gold(_records(spark, d), ("test",))
+    return metrics.first_offenders(metrics.strict_problems(table(spark, d, "predictions"), gold))
+
+
+def missing_counts(spark, d):
+    p, g = _sides(spark, d)
+    return metrics.missing_counts(p, g)
+
+
+def eval_targeted(spark, d):
+    """Rates of each hard-case type."""
+    s = _scored(spark, d)
+    return metrics.targeted_rates(s, F.col("overridden"))
+
+
 def join_eval_inner(spark, d):
     p, g = _sides(spark, d)
     return metrics.joined(p, g).select("run_id", "id", "prediction_key", "record_key")
@@ -108,6 +129,7 @@ def error_mining_top10(spark, d):
 
 _FUNCS = (
     agg_stats, agg_distribution, agg_range_status, agg_coverage_task, agg_coverage_family, agg_rubric_diversity, agg_two_way, alloc_next_batch, alloc_no_deficit,
+    agg_report, evaluate_strict, missing_counts, eval_targeted,
     join_eval_inner, anti_unknown, anti_missing, prediction_errors, prediction_contract, eval_slices, eval_overall, eval_hard_cases, eval_boundary_matrix, error_mining_top10,
 )
 QUERIES = {f.__name__: f for f in _FUNCS}
@@ -188,6 +210,9 @@ SELECT {k}dim, value, records, resolvable_records, criterion_items, n_exact, n_w
 
 _CRIT = "list_filter(r.rubric.criteria, lambda x: x IS NOT NULL AND x.criterion_id IS NOT NULL)"
 
+_MALFORMED = """coalesce(id, '') = '' OR needs_review IS NULL OR criterion_scores IS NULL OR list_contains(map_keys(criterion_scores), '')
+  OR len(list_filter(map_values(criterion_scores), lambda v: v IS NULL OR isnan(v) OR isinf(v))) > 0"""
+
 SQL = {
     "agg_stats": """SELECT axis, category, count(*) AS n FROM (SELECT 'total' AS axis, 'all' AS category FROM records UNION ALL SELECT 'modality', coalesce(modality, '<missing>') FROM records
   UNION ALL SELECT 'status', coalesce(metadata.status, '<missing>') FROM records UNION ALL SELECT 'split', coalesce(metadata.split, 'unassigned') FROM records
@@ -225,4 +250,24 @@ SELECT c.g AS gold_score, c.p AS predicted_score, count(*) AS n FROM c WHERE c.p
   array_to_string(list_sort(coalesce(m.hard_case_types, [])), ',') AS hard_case_types FROM sc)
 SELECT failure_type, modality, grade, question_family, hard_case_types, count(*) AS n FROM f WHERE failure_type IS NOT NULL GROUP BY ALL
 ORDER BY n DESC, failure_type, modality, grade, question_family, hard_case_types LIMIT 10""",
+    "evaluate_strict": f"""WITH gt AS (SELECT DISTINCT id FROM records WHERE metadata.split = 'test' AND id IS NOT NULL),
+i AS (SELECT run_id, id, count(*) AS n FROM predictions WHERE id <> '' GROUP BY ALL),
+x AS (SELECT run_id, 'malformed' AS problem, coalesce(nullif(id, ''), '#' || prediction_key) AS id FROM predictions WHERE {_MALFORMED}
+  UNION ALL SELECT run_id, 'duplicate', id FROM i WHERE n > 1 UNION ALL SELECT run_id, 'unknown', id FROM i WHERE id NOT IN (SELECT id FROM gt)
+  UNION ALL (SELECT run_id, 'missing', id FROM (SELECT DISTINCT run_id FROM predictions WHERE run_id IS NOT NULL) CROSS JOIN gt EXCEPT SELECT run_id, 'missing', id FROM predictions))
+SELECT run_id, problem, count(*) AS n, array_to_string(list_sort(list(id))[1:10], ',') AS first_ids FROM x GROUP BY run_id, problem""",
+    "missing_counts": f"""WITH {_EVAL} SELECT a.run_id, (SELECT count(*) FROM g) - (SELECT count(DISTINCT p.id) FROM p JOIN g USING (id) WHERE p.run_id = a.run_id) AS n_missing
+FROM (SELECT DISTINCT run_id FROM p WHERE run_id IS NOT NULL) a""",
+    "eval_targeted": f"""WITH {_SCORED}, h AS (SELECT sc.*, unnest(m.hard_case_types) AS hard_case_type,
+  ok AND coalesce(e.r.gold.max_score, 0) > 0 AND coalesce(e.ptotal, -1) >= e.r.gold.max_score - 1e-9 AND coalesce(e.r.gold.total_score < e.r.gold.max_score - 1e-9, false) AS full_marks FROM sc JOIN e USING (run_id, id))
+SELECT hard_case_type, count(*) AS records, CAST(sum(items) AS BIGINT) AS items, sum(under_) / nullif(CAST(sum(items) AS DOUBLE), 0) AS under_rate, sum(over_) / nullif(CAST(sum(items) AS DOUBLE), 0) AS over_rate,
+  count(*) FILTER (pr) / CAST(count(*) AS DOUBLE) AS review_rate, count(*) FILTER (full_marks) / CAST(count(*) AS DOUBLE) AS override_rate FROM h GROUP BY hard_case_type""",
+    "agg_report": f"""WITH {_dist(STRATEGY.target_records)}, r AS ({_RANGE}), rt AS (SELECT *, coalesce(n / nullif(CAST(total AS DOUBLE), 0), 0.0) AS rate FROM r),
+cov AS (SELECT 'exact_tasks' AS name, * FROM ({_cov("task.task_id", *STRATEGY.per_task)}) UNION ALL SELECT 'question_families', * FROM ({_cov("metadata.question_family", *STRATEGY.per_family)}))
+SELECT 'total' AS section, 'verified_records' AS name, 'all' AS category, CAST(count(*) AS DOUBLE) AS value, {float(STRATEGY.target_records)}::DOUBLE AS target, CASE WHEN count(*) >= {STRATEGY.target_records} THEN 'reached' ELSE 'open' END AS status FROM v
+UNION ALL SELECT 'verification_source', 'verification_source', coalesce(nullif(metadata.verification_source, ''), '<missing>'), count(*), NULL, NULL FROM v GROUP BY ALL
+UNION ALL SELECT 'distribution', axis, category, actual, target, CASE WHEN gap > 0 THEN 'under' ELSE 'reached' END FROM dist
+UNION ALL SELECT 'range', name, 'rate', rate, low, CASE WHEN rate < low THEN 'under' WHEN rate > high THEN 'over' ELSE 'in_range' END FROM rt
+UNION ALL SELECT 'coverage', name, unnest(['keys', 'mean', 'below_min', 'in_range', 'above_max']), unnest([CAST(keys AS DOUBLE), mean, below_min, in_range, above_max]), NULL, NULL FROM cov
+UNION ALL SELECT 'rubric', 'criterion_count', CAST(coalesce(len(rubric.criteria), 0) AS VARCHAR), count(*), count(DISTINCT rubric.rubric_id), NULL FROM v GROUP BY ALL""",
 }

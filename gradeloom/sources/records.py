@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.text import ustrip
 from ..schemas import PREDICTION_DDL, RECORD_DDL
@@ -35,6 +36,22 @@ def read_jsonl(spark: SparkSession, path: str, ddl: str = PREDICTION_DDL) -> Dat
     return out.withColumn("corrupt", F.when(~is_object, F.col("value")).otherwise(F.col("corrupt"))).drop("value")
 
 
+def bad_lines(spark: SparkSession, path: str, ddl: str = PREDICTION_DDL) -> DataFrame:
+    """``(file_path, line, value)`` of JSON lines that are no object of the schema, with their line number from 1.
+
+    A file is read in blocks; the lines of the blocks before are counted in a pass of their
+    own, one row for each block.  Blank lines count, but are no bad lines.
+    """
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    blocks = raw.groupBy("file_path", "block").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("file_path").orderBy("block")) - F.col("n")
+    blocks = blocks.withColumn("before", before).drop("n")
+    parsed = F.from_json("value", f"{ddl}, corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt"})
+    bad = raw.where(ustrip(F.col("value")) != "").withColumn("r", parsed)
+    bad = bad.where(F.col("r.corrupt").isNotNull() | ~ustrip(F.col("value")).startswith("{"))
+    return bad.join(blocks, ["file_path", "block"]).select("file_path", (F.col("before") + F.col("at") - F.col("first") + 1).alias("line"), "value")
+
+
 def read_json_document(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """One whole file as one row, null where it does not parse."""
     return spark.read.text(path, wholetext=True).select(F.from_json("value", ddl).alias("r")).select("r.*")

@@ -81,5 +81,5 @@ def spread(df: DataFrame) -> DataFrame:
     redistributed; a large one already has more and is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    have = df._jdf.queryExecution().toRdd().getNumPartitions()
+    have = df.rdd.getNumPartitions()  # callers pass scans, so nothing runs for it
     return df if have >= cores else df.repartition(cores)

@@ -11,7 +11,11 @@ def test_commands(spark, capsys, tmp_path):
     assert cli.main(["stats", rec]) == 0 and '"axis": "total"' in capsys.readouterr().out
     assert cli.main(["check", rec]) == 1
     assert cli.main(["next-batch", rec, "--count", "17"]) == 0
-    assert cli.main(["evaluate", rec, "--predictions", f"{SF}/predictions.parquet", "--split", "test"]) in (0, 1)
+    args = ["evaluate", rec, "--predictions", f"{SF}/predictions.parquet", "--split", "test"]
+    assert cli.main([*args, "--lenient"]) in (0, 1)
+    # runs that answer part of the split, know other ids or repeat theirs are not scored
+    assert cli.main(args) == 2 and '"problem": "missing"' in capsys.readouterr().out
+    assert cli.main(["quota", rec]) == 0 and '"section": "coverage"' in capsys.readouterr().out
     assert cli.main(["export-sft", rec, "--split", "train", "--out", str(tmp_path / "sft")]) == 0
     assert cli.main(["split", rec, "--train", "2"]) == 2
     assert cli.main(["nonsense", rec]) == 2

@@ -9,10 +9,11 @@ from gradeloom.operators import predictions, review
 from .factory import frame, record
 
 CRIT = record(1)["rubric"]["criteria"]
+CRIT[1]["criterion_id"] = "textual"
 
 
 def family(**resp):
-    r = {"candidate_id": "c1", "text": " Bir. İki! ", "scores": [3.0, 4.0], "response_quality": "high_partial", "hard_case_types": ["short_correct"], "adversarial": False, "needs_review": False, "review_reason": None, "source": None}
+    r = {"candidate_id": "c1", "text": " Bir. İki! ", "scores": [3.0, 2.0], "response_quality": "high_partial", "hard_case_types": ["short_correct"], "adversarial": False, "needs_review": False, "review_reason": None, "source": None}
     second = {**r, "candidate_id": "c2"}
     return [{"file": "f", "record_id_start": 7, "grade": 9, "modality": "written", "created_at": "2025-01-01", "tags": ["b", "a"], "exam_family": "e", "question_family": "q", "rubric": {"rubric_id": "r", "version": "1", "criteria": CRIT}, "tasks": [{"task_id": "t", "prompt": "p", "context": None, "responses": [{**r, **resp}, second]}]}]
 
@@ -28,7 +29,7 @@ def test_build(spark):
     got = built(spark)
     r = got["c1"]
     assert (r.id, got["c2"].id) == ("tde09-written-000007", "tde09-written-000008")
-    assert r.student_response.text == "Bir. İki!" and r.gold_evaluation.total_score == 7.0
+    assert r.student_response.text == "Bir. İki!" and r.gold_evaluation.total_score == 5.0
     assert r.metadata.tags == ["a", "b", "synthetic", "wave"] and r.metadata.review_count == 2 and got["c2"].metadata.review_count == 1
     assert r.error is None and r.gold_evaluation.criterion_results[1].evidence == ["Bir.", "İki!"]
 
@@ -37,13 +38,13 @@ def test_key_presence_is_not_null(spark):
     assert built(spark, {"text_override": None})["c1"].student_response.text == ""
     assert built(spark, {"hard_case_types_override": None})["c1"].metadata.hard_case_types == []
     assert built(spark, {"effective_response_quality": None})["c1"].metadata.response_quality == "high_partial"
-    assert built(spark, {"scores": {"claim": 1}, "final_scores": {"claim": 4}})["c1"].gold_evaluation.total_score == 8.0
+    assert built(spark, {"scores": {"c1": 1}, "final_scores": {"c1": 4}})["c1"].gold_evaluation.total_score == 6.0
 
 
 def test_build_errors(spark):
     assert built(spark, {"source_override": "raw_ocr"})["c1"].error == "uncertainties"
     assert built(spark, {"source_override": "fax"})["c1"].error == "source"
-    assert built(spark, {"scores": {"claim": 9}})["c1"].error == "scores"
+    assert built(spark, {"scores": {"c1": 9}})["c1"].error == "scores"
     assert built(spark, scores=[1.0])["c1"].error == "scores"
 
 
@@ -55,7 +56,7 @@ def test_wave_layers(spark):
     second = {**fam[0], "file": "g", "grade": 10}
     df = spark.createDataFrame([fam[0], second], M.FAMILY_DDL)
     layer = lambda o: spark.createDataFrame([("c1", 0, json.dumps(o))], "candidate_id string, pos int, raw string")
-    got = M.build_wave(df, layer({"text_override": "r", "content_scores": {"claim": 1}, "hard_case_types_override": []}), layer({"final_scores": {"claim": 2}, "needs_review": True, "review_reason": "x"})).collect()
+    got = M.build_wave(df, layer({"text_override": "r", "content_scores": {"c1": 1}, "hard_case_types_override": []}), layer({"final_scores": {"c1": 2}, "needs_review": True, "review_reason": "x"})).collect()
     one = next(r for r in got if r.id == "tde09-speaking-000001")
     assert sorted(r.id for r in got) == ["tde09-speaking-000001", "tde09-speaking-000002", "tde10-speaking-000003", "tde10-speaking-000004"]
     assert one.gold_evaluation.total_score == 2.0 and one.student_response.text == "r" and one.metadata.hard_case_types == ["short_correct"]
@@ -82,12 +83,12 @@ def corr(spark, rows):
 def test_review(spark):
     a, b = record(1, metadata__split="test"), record(2, metadata__split="validation")
     df = frame(spark, [a, b, record(3)])
-    out = {r.record_key: r for r in review.apply_review(df, review.latest_corrections(corr(spark, [(a["id"], {"claim": 4.0}, "full_correct")]))).collect()}
-    assert set(out) == {1, 2} and out[1].gold_evaluation.total_score == 8.0 and out[1].changed_scores == 1 and out[1].changed_quality == 1
-    assert out[1].metadata.review_count == out[2].metadata.review_count == 2 and out[2].gold_evaluation.total_score == 7.0
-    assert "4/4" in out[1].gold_evaluation.criterion_results[0].justification
-    bad = review.apply_review(df, review.latest_corrections(corr(spark, [(a["id"], {"claim": 4.5}, None)]))).where("record_key = 1").first()
-    assert bad.review_error == "claim" and bad.gold_evaluation.total_score == 7.0
+    out = {r.record_key: r for r in review.apply_review(df, review.latest_corrections(corr(spark, [(a["id"], {"c1": 5.0}, "full_correct")]))).collect()}
+    assert set(out) == {1, 2} and out[1].gold_evaluation.total_score == 7.5 and out[1].changed_scores == 1 and out[1].changed_quality == 1
+    assert out[1].metadata.review_count == out[2].metadata.review_count == 2 and out[2].gold_evaluation.total_score == 4.0
+    assert "5/5" in out[1].gold_evaluation.criterion_results[0].justification
+    bad = review.apply_review(df, review.latest_corrections(corr(spark, [(a["id"], {"c1": 5.5}, None)]))).where("record_key = 1").first()
+    assert bad.review_error == "c1" and bad.gold_evaluation.total_score == 4.0
     assert {(r.id, r.problem) for r in review.unmatched(corr(spark, [("x", None, None), (record(3)["id"], None, None)]), df, ("test",)).collect()} == {("x", "unknown"), (record(3)["id"], "out_of_scope")}
 
 

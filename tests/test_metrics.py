@@ -20,15 +20,15 @@ def overall(spark, recs, rows):
 
 
 def test_agreement_numbers(spark):
-    r = record(1, gold_evaluation__criterion_results=[{"criterion_id": "claim", "score": 3.0}, {"criterion_id": "evidence", "score": 4.0}])
-    m = overall(spark, [r], [(r["id"], {"claim": 2.0, "evidence": 6.0}, True)])
+    r = record(1)
+    m = overall(spark, [r], [(r["id"], {"c1": 2.5, "c2": 0.5}, True)])
     assert m.criterion_mae == 1.5 and m.criterion_exact_rate == 0.0 and m.criterion_within_1_rate == 0.5
     assert m.total_mae == 1.0 and m.fp == 1 and m.n_over == 1 and m.n_under == 1
 
 
 def test_review_rows_score_nothing(spark):
     a, b = record(1), record(2, gold_evaluation__needs_review=True)
-    m = overall(spark, [a, b], [(a["id"], {"claim": 3.0, "evidence": 4.0}, False), (b["id"], {"claim": 0.0}, True)])
+    m = overall(spark, [a, b], [(a["id"], {"c1": 1.5, "c2": 2.5}, False), (b["id"], {"c1": 0.0}, True)])
     assert (m.records, m.resolvable_records, m.criterion_items, m.tp, m.tn) == (2, 1, 2, 1, 1)
     assert m.total_exact_rate == 1.0 and m.precision == 1.0 and m.f1 == 1.0
 
@@ -41,11 +41,11 @@ def test_empty_denominators_are_null(spark):
 
 def test_coverage_and_contract(spark):
     gold = metrics.latest_gold(frame(spark, [record(1), record(2)]))
-    p = metrics.latest_predictions(preds(spark, [(record(1)["id"], {"claim": 5.0, "other": 1.0}, False), ("nobody", {}, False)]))
+    p = metrics.latest_predictions(preds(spark, [(record(1)["id"], {"c1": 5.5, "other": 1.0}, False), ("nobody", {}, False)]))
     assert [r.id for r in metrics.unknown_predictions(p, gold).collect()] == ["nobody"]
     assert [r.id for r in metrics.missing_predictions(p, gold).collect()] == [record(2)["id"]]
     e = metrics.contract_errors(metrics.joined(p, gold)).first()
-    assert (e.missing, e.extra, e.out_of_range) == ("evidence", "other", "claim")
+    assert (e.missing, e.extra, e.out_of_range) == ("c2", "other", "c1")
 
 
 @pytest.mark.parametrize("row, error", [((None, {"a": 1.0}, True), "id"), (("x", {"a": 1.0}, None), "needs_review"), (("x", None, True), "criterion_scores"), (("x", {"a": float("nan")}, True), "score"), (("x", {"a": float("inf")}, True), "score"), (("x", {"": 1.0}, True), "criterion_id"), (("x", {"a": 1.0}, True), None)])

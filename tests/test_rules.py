@@ -23,10 +23,10 @@ def test_clean_record_has_no_finding(spark):
     [
         ({"id": "other"}, "filename_id_mismatch"),
         ({"file_path": "dataset/records/speaking/tde11-written-000001.json"}, "modality_folder_mismatch"),
-        ({"rubric__criteria": [CRIT[0], CRIT[0], CRIT[1]], "task__max_score": 14.0, "gold_evaluation__max_score": 14.0}, "duplicate_criterion_id"),
-        ({"gold_evaluation__criterion_results": [*GOLD["criterion_results"], GOLD["criterion_results"][0]], "gold_evaluation__total_score": 10.0}, "duplicate_result_id"),
-        ({"gold_evaluation__criterion_results": GOLD["criterion_results"][:1], "gold_evaluation__total_score": 3.0}, "criterion_result_mismatch"),
-        ({"gold_evaluation__criterion_results": [{**GOLD["criterion_results"][0], "score": 4.5}, GOLD["criterion_results"][1]], "gold_evaluation__total_score": 8.5}, "criterion_score_overflow"),
+        ({"rubric__criteria": [CRIT[0], CRIT[0], CRIT[1]], "task__max_score": 13.0, "gold_evaluation__max_score": 13.0}, "duplicate_criterion_id"),
+        ({"gold_evaluation__criterion_results": [*GOLD["criterion_results"], GOLD["criterion_results"][0]], "gold_evaluation__total_score": 5.5}, "duplicate_result_id"),
+        ({"gold_evaluation__criterion_results": GOLD["criterion_results"][:1], "gold_evaluation__total_score": 1.5}, "criterion_result_mismatch"),
+        ({"gold_evaluation__criterion_results": [{**GOLD["criterion_results"][0], "score": 5.5}, GOLD["criterion_results"][1]], "gold_evaluation__total_score": 8.0}, "criterion_score_overflow"),
         ({"task__max_score": 9.0, "gold_evaluation__max_score": 9.0}, "rubric_task_max_mismatch"),
         ({"gold_evaluation__max_score": 11.0}, "task_gold_max_mismatch"),
         ({"gold_evaluation__total_score": 3.0}, "total_score_mismatch"),
