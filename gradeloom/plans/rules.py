@@ -13,11 +13,17 @@ def _records(spark, d):
 
 
 def rule_findings(spark, d):
-    """Every consistency finding but the signs of personal data."""
-    found = rules.apply_rules(_records(spark, d), "record_key", [r for r in rules.record_rules() if r.code != "possible_pii"])
+    """Every consistency finding of a record."""
+    found = rules.apply_rules(_records(spark, d), "record_key", rules.record_rules())
     return found.select("record_key", "level", "code")
 
 
+def rule_details(spark, d):
+    """Texts of the findings that name criteria or scores."""
+    found = rules.apply_rules(_records(spark, d), "record_key", [r for r in rules.record_rules() if r.code in ("criterion_result_mismatch", "criterion_score_overflow", "missing_nontext_observation", "filename_id_mismatch")])
+    return found.select("record_key", "code", "detail")
+
+
 def rule_counts(spark, d):
     return rule_findings(spark, d).groupBy("level", "code").agg(F.count("*").alias("n"))
 
@@ -38,7 +44,7 @@ def policy_findings(spark, d):
 def findings_union(spark, d):
     """Validation, policy and leakage findings together, counted by code."""
     rec = _records(spark, d)
-    parts = rules.apply_rules(rec, "record_key", [r for r in rules.record_rules() if r.code != "possible_pii"])
+    parts = rules.apply_rules(rec, "record_key", rules.record_rules())
     parts = parts.unionByName(rules.duplicate_ids(rec, "record_key")).unionByName(rules.apply_rules(rules.verified_status(rec), "record_key", rules.policy_rules()))
     parts = parts.unionByName(rules.leakage_findings(links.leakage(rec)))
     return parts.groupBy("level", "code").agg(F.count("*").alias("n"))
@@ -67,13 +73,23 @@ def schema_prediction_findings(spark, d):
     return rules.apply_rules(table(spark, d, "predictions"), "prediction_key", rules.prediction_schema_rules())
 
 
-QUERIES = {f.__name__: f for f in (rule_findings, rule_counts, rule_possible_pii, rule_duplicate_id, policy_findings, findings_union, finding_lines, type_findings, schema_findings, schema_raw_findings, schema_prediction_findings)}
+QUERIES = {f.__name__: f for f in (rule_findings, rule_details, rule_counts, rule_possible_pii, rule_duplicate_id, policy_findings, findings_union, finding_lines, type_findings, schema_findings, schema_raw_findings, schema_prediction_findings)}
 
 _SUM_C = "coalesce(list_sum(list_transform(list_filter(rubric.criteria, lambda x: x IS NOT NULL), lambda x: coalesce(x.max_score, 0))), 0)"
 _SUM_R = "coalesce(list_sum(list_transform(list_filter(gold_evaluation.criterion_results, lambda x: x IS NOT NULL), lambda x: coalesce(x.score, 0))), 0)"
 _C = "list_filter(rubric.criteria, lambda x: x IS NOT NULL)"
 _R = "list_filter(gold_evaluation.criterion_results, lambda x: x IS NOT NULL)"
 _BLANK = "(review IS NULL OR regexp_replace(review, '^\\s+|\\s+$', '', 'g') = '')"
+# the same signs without look-around: a neighbour that is no letter or digit instead of a word boundary
+_W = "[^\\p{L}\\p{N}_]"
+_STRINGS = """' ' || replace(to_json(struct_pack(id, schema_version, modality, language, task, rubric, student_response, gold_evaluation, metadata)), '\\n', ' ') || ' '"""
+_SIGN_SQL = {
+    "email": f"(?i){_W}[A-Z0-9._%+-]*[\\p{{L}}\\p{{N}}_.%+-]@[A-Z0-9.-]+\\.[A-Z]{{2,}}{_W}",
+    "okul_numarasi_etiketi": f"(?i){_W}(okul|öğrenci)\\s*(no|numara|numarası){_W}",
+    "tc_kimlik_etiketi": f"(?i){_W}(kimlik|kimlik\\s*no|tc\\s*no){_W}",
+    "telefon": "[^\\d](\\+?90\\s*)?(0?\\s*)?5\\d{2}[\\s.-]?\\d{3}[\\s.-]?\\d{2}[\\s.-]?\\d{2}[^\\d]",
+}
+_PII = "SELECT record_key, " + "list_filter([" + ", ".join(f"CASE WHEN regexp_matches(t, '{p}') THEN '{n}' END" for n, p in _SIGN_SQL.items()) + f"], lambda x: x IS NOT NULL) AS signs FROM (SELECT record_key, {_STRINGS} AS t FROM records)"
 _RULES = f"""
 base AS (SELECT *, {_C} AS cs, {_R} AS rs, gold_evaluation.review_reason AS review, {_SUM_C} AS sum_c, {_SUM_R} AS sum_r FROM records),
 ids AS (SELECT record_key, unnest(list_transform(cs, lambda x: coalesce(x.criterion_id, chr(0)))) AS cid FROM base),
@@ -99,6 +115,7 @@ found AS (
  UNION ALL SELECT record_key, 'warning', 'unexpected_review_reason' FROM base WHERE NOT gold_evaluation.needs_review AND NOT {_BLANK}
  UNION ALL SELECT record_key, 'error', 'verified_without_pii_review' FROM base WHERE metadata.status = 'teacher_verified' AND metadata.pii_reviewed IS NOT TRUE
  UNION ALL SELECT record_key, 'error', 'filename_id_mismatch' FROM base WHERE regexp_extract(file_path, '([^/]+?)(?:\\.[^./]*)?$', 1) <> id
+ UNION ALL SELECT record_key, 'warning', 'possible_pii' FROM ({_PII}) WHERE len(signs) > 0
  UNION ALL SELECT record_key, 'error', 'modality_folder_mismatch' FROM base WHERE modality IN ('written', 'speaking', 'listening') AND regexp_extract(file_path, '([^/]+)/[^/]+$', 1) <> modality)
 """
 _DUP = "dup AS (SELECT record_key, row_number() OVER w AS n, first_value(file_path) OVER w AS first_path FROM records WHERE id IS NOT NULL WINDOW w AS (PARTITION BY id ORDER BY file_path, record_key))"
@@ -137,6 +154,13 @@ leak AS (SELECT field, value, string_agg(DISTINCT split, ',' ORDER BY split) AS
 
 SQL = {
     "rule_findings": f"WITH {_RULES} SELECT * FROM found",
+    "rule_possible_pii": f"SELECT record_key, array_to_string(signs, ', ') AS detail FROM ({_PII}) WHERE len(signs) > 0",
+    "rule_details": f"""WITH {_RULES}, m AS (SELECT record_key, 'missing=' || array_to_string(list_sort(list_filter(list_distinct(a), lambda x: NOT list_contains(b, x))), ',') || ' extra=' || array_to_string(list_sort(list_filter(list_distinct(b), lambda x: NOT list_contains(a, x))), ',') AS detail
+  FROM (SELECT record_key, list_transform(cs, lambda x: coalesce(x.criterion_id, chr(0))) AS a, list_transform(rs, lambda x: coalesce(x.criterion_id, chr(0))) AS b FROM base) JOIN mis USING (record_key)),
+o AS (SELECT record_key, b.r.criterion_id || ': ' || regexp_replace(CAST(b.r.score AS VARCHAR), '\\.0$', '') AS detail FROM (SELECT record_key, unnest(rs) AS r FROM base) b JOIN lim USING (record_key) WHERE lim.cid = b.r.criterion_id AND b.r.score > lim.m + 1e-9)
+SELECT record_key, 'criterion_result_mismatch' AS code, detail FROM m UNION ALL SELECT record_key, 'criterion_score_overflow', detail FROM o
+UNION ALL SELECT record_key, 'missing_nontext_observation', c.criterion_id FROM (SELECT record_key, unnest(cs) AS c, student_response.observations AS o FROM base) WHERE coalesce(len(o), 0) = 0 AND list_has_any(c.evidence_sources, ['audio_delivery', 'teacher_observation'])
+UNION ALL SELECT record_key, 'filename_id_mismatch', regexp_extract(file_path, '([^/]+?)(?:\\.[^./]*)?$', 1) FROM base WHERE regexp_extract(file_path, '([^/]+?)(?:\\.[^./]*)?$', 1) <> id""",
     "rule_counts": f"WITH {_RULES} SELECT level, code, count(*) AS n FROM found GROUP BY level, code",
     "rule_duplicate_id": f"WITH {_DUP} SELECT record_key, first_path FROM dup WHERE n > 1",
     "policy_findings": f"WITH {_POLICY} SELECT * FROM pol",
