@@ -93,7 +93,9 @@ def all_strings() -> Column:
 
 def pii_signs(text: Column) -> Column:
     """Sorted names of the signs found in a text."""
-    return F.array_compact(F.array(*[F.when(text.rlike(p), F.lit(n)) for n, p in PII_SIGNS]))
+    # what a sign cannot do without is looked for first: far cheaper than the pattern, with the same result
+    needs = {"email": F.contains(text, F.lit("@")), "telefon": text.rlike(r"5[0-9\p{Nd}]{2}")}
+    return F.array_compact(F.array(*[F.when(needs.get(n, F.lit(True)) & text.rlike(p), F.lit(n)) for n, p in PII_SIGNS]))
 
 
 def record_rules(path: str | None = "file_path") -> list[Rule]:
@@ -109,7 +111,8 @@ def record_rules(path: str | None = "file_path") -> list[Rule]:
     over = F.filter(over, lambda x: x["score"] > limit(x) + TOLERANCE)
     nontext = F.filter(_list(c), lambda k: F.arrays_overlap(k["evidence_sources"], F.array(*[F.lit(x) for x in NONTEXT_EVIDENCE])))
     review, reason = F.col("gold_evaluation.needs_review"), F.col("gold_evaluation.review_reason")
-    signs = pii_signs(all_strings())
+    # one element or none; through an array, so that the long text is put together once
+    signs = F.filter(F.transform(F.array(all_strings()), lambda t: F.array_join(pii_signs(t), ", ")), lambda x: x != "")
     rules = [
         Rule("duplicate_criterion_id", "error", F.size(cids) != F.size(F.array_distinct(cids))),
         Rule("duplicate_result_id", "error", F.size(rids) != F.size(F.array_distinct(rids))),
@@ -122,7 +125,7 @@ def record_rules(path: str | None = "file_path") -> list[Rule]:
         Rule("review_reason_required", "error", is_true(review) & blank(reason)),
         Rule("unexpected_review_reason", "warning", (review == F.lit(False)) & ~blank(reason)),
         Rule("verified_without_pii_review", "error", (F.col("metadata.status") == "teacher_verified") & ~is_true(F.col("metadata.pii_reviewed"))),
-        Rule("possible_pii", "warning", F.size(signs) > 0, F.array_join(signs, ", ")),
+        Rule("possible_pii", "warning", F.lit(True), many=signs),
         Rule("missing_nontext_observation", "warning", F.coalesce(F.size("student_response.observations"), F.lit(-1)) <= 0, many=F.coalesce(F.transform(nontext, lambda k: k["criterion_id"]), F.array().cast("array<string>"))),
     ]
     if path:

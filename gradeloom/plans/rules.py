@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import links, rules
+from ..storage import spread
 from .tables import table
 
 
@@ -14,7 +15,7 @@ def _records(spark, d):
 
 def rule_findings(spark, d):
     """Every consistency finding of a record."""
-    found = rules.apply_rules(_records(spark, d), "record_key", rules.record_rules())
+    found = rules.apply_rules(spread(_records(spark, d)), "record_key", rules.record_rules())
     return found.select("record_key", "level", "code")
 
 
@@ -44,7 +45,7 @@ def policy_findings(spark, d):
 def findings_union(spark, d):
     """Validation, policy and leakage findings together, counted by code."""
     rec = _records(spark, d)
-    parts = rules.apply_rules(rec, "record_key", rules.record_rules())
+    parts = rules.apply_rules(spread(rec), "record_key", rules.record_rules())
     parts = parts.unionByName(rules.duplicate_ids(rec, "record_key")).unionByName(rules.apply_rules(rules.verified_status(rec), "record_key", rules.policy_rules()))
     parts = parts.unionByName(rules.leakage_findings(links.leakage(rec)))
     return parts.groupBy("level", "code").agg(F.count("*").alias("n"))
